@@ -35,7 +35,7 @@ _NULL_DEFAULTS = {"int": 0, "long": 0, "double": 0.0, "float": 0.0, "boolean": F
 def _check(f: Field, actual: T.DataType) -> None:
     if f.kind in ("string", "text"):
         return
-    if actual != f.data_type:
+    if actual.simpleString() != f.data_type.simpleString():  # element nullability is not part of the type
         raise OutputSchemaError(
             f"output field {f.name!r} is declared {f.declared!r} ({f.data_type.simpleString()}) "
             f"but the SQL result column is {actual.simpleString()}"

@@ -72,7 +72,7 @@ class SqlJob:
         decoded = decode(messages, self.spec.input_fields, self.spec.on_bad_record, value_col)
         decoded.rows.createOrReplaceTempView(SOURCE_VIEW)
         result = messages.sparkSession.sql(self.spec.sql)
-        shaped = shape(result, self.spec.output_fields)
+        shaped = shape(result, self.spec.output_fields) if self.spec.output_fields else result
         return BatchResult(decoded.rows, result, shaped, encode_json(shaped), decoded.rejected)
 
 

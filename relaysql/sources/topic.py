@@ -109,17 +109,20 @@ class MessageSink:
         return opts
 
     def write(self, values: DataFrame, batch_id: int | None = None) -> None:
-        """Publish the ``value`` column.
+        """Publish the ``value`` column (appended, as to a topic).
 
-        For text, each batch goes to its own ``batch_id=N`` folder written in
-        overwrite mode, so a batch that is run again after a failure replaces
-        its earlier output instead of duplicating it.
+        For text with a ``batch_id``, each batch goes to its own ``batch_id=N``
+        folder written in overwrite mode, so a batch that is run again after a
+        failure replaces its earlier output instead of duplicating it.
         """
         out = values.select(F.col("value").cast("string").alias("value"))
         if self.transport == "kafka":
             out.write.format("kafka").options(**self.writer_options()).save()
             return
-        path = self.location if batch_id is None else f"{self.location.rstrip('/')}/batch_id={batch_id}"
+        if batch_id is None:
+            out.write.mode("append").options(**self.writer_options()).text(self.location)
+            return
+        path = f"{self.location.rstrip('/')}/batch_id={batch_id}"
         out.write.mode("overwrite").options(**self.writer_options()).text(path)
 
 

@@ -89,6 +89,10 @@ class JobSpec:
 
     @cached_property
     def output_fields(self) -> tuple[Field, ...]:
+        """Declared output fields; empty when no output schema is given, in which
+        case every SQL result column is published as it is."""
+        if isinstance(self.output_schema, str) and not self.output_schema.strip():
+            return ()
         return parse_schema_spec(self.output_schema, self.unknown_types)
 
     @cached_property
