@@ -1,0 +1,82 @@
+import json
+
+import pytest
+
+from relaysql import JobSpec, SqlJob
+from relaysql.spec import JobSpecError
+
+MSG_A = '{"age":21,"name":"jack"}'
+MSG_B = '{"age":21,"name":"jack","favors":["code","game","play"]}'
+SCHEMA_A_IN = '{"name":"string","age":"int"}'
+SCHEMA_A_OUT = '{"newname":"string","age":"int"}'
+SQL_A = "select m1(name) as newname,age from source"
+FUNCS = ('[{"name":"m1","mainClass":"relaysql.functions.library:suffix_new",'
+         '"param":"(String)","returnType":"string"}]')
+
+
+def _values(spark, spec, texts, **kw):
+    job = SqlJob(spec, **kw)
+    s = job.open(spark)
+    out = job.run_batch(s.createDataFrame([(t,) for t in texts], "value string"))
+    return [json.loads(r.value) for r in out.values.collect()]
+
+
+def test_fixture_message_a(spark):
+    spec = JobSpec(input_schema=SCHEMA_A_IN, output_schema=SCHEMA_A_OUT, sql=SQL_A, functions=FUNCS)
+    assert _values(spark, spec, [MSG_A]) == [{"newname": "jack_new", "age": 21}]
+
+
+def test_fixture_message_b_sample_job(spark):
+    assert _values(spark, JobSpec.sample(), [MSG_B]) == [
+        {"newname": "jack_new", "age": 21, "favors": ["code", "game", "play"]}]
+
+
+def test_fixture_message_b_with_schema_a(spark):
+    spec = JobSpec(input_schema=SCHEMA_A_IN, output_schema=SCHEMA_A_OUT, sql=SQL_A, functions=FUNCS)
+    assert _values(spark, spec, [MSG_B]) == [{"newname": "jack_new", "age": 21}]
+
+
+def test_from_args_needs_exactly_twelve():
+    args = ["local[2]", "5", "app", "s1:9092", "s2:9092", "stu", "stu_clean", "g1",
+            SCHEMA_A_IN, SCHEMA_A_OUT, FUNCS, SQL_A]
+    spec = JobSpec.from_args(args)
+    assert spec.interval_seconds == 5 and spec.in_topic == "stu" and spec.function_specs[0].name == "m1"
+    with pytest.raises(JobSpecError):
+        JobSpec.from_args(args[:-1])
+    with pytest.raises(JobSpecError):
+        JobSpec.from_args(["x"] + args[1:2] * 0 + ["notint"] + args[2:])
+
+
+def test_job_session_is_isolated_and_non_ansi(spark):
+    spec = JobSpec(input_schema=SCHEMA_A_IN, output_schema='{"z":"double"}', sql="select age / 0 as z from source")
+    assert _values(spark, spec, [MSG_A]) == [{"z": 0.0}]  # NULL -> 0.0 on encode
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    assert "source" not in [t.name for t in spark.catalog.listTables()]
+
+
+def test_common_function_always_registered(spark):
+    spec = JobSpec(input_schema=SCHEMA_A_IN, output_schema='{"t":"string"}', sql="select MyUDF(name) as t from source")
+    assert _values(spark, spec, [MSG_A]) == [{"t": "jack_Test"}]
+
+
+def test_batch_local_sql_with_window(spark):
+    spec = JobSpec(input_schema=SCHEMA_A_IN, output_schema='{"name":"string","rn":"int"}',
+                   sql="select name, row_number() over (order by age desc) as rn from source")
+    got = _values(spark, spec, ['{"name":"a","age":1}', '{"name":"b","age":2}'])
+    assert sorted(got, key=lambda d: d["rn"]) == [{"name": "b", "rn": 1}, {"name": "a", "rn": 2}]
+
+
+def test_reference_views_and_extra_functions(spark):
+    from relaysql.functions.lookup import const_lookup
+
+    spec = JobSpec(input_schema=SCHEMA_A_IN, output_schema='{"t":"string"}', sql="select lk(name) as t from source")
+    got = _values(spark, spec, [MSG_A], extra_functions={"lk": const_lookup("kv", "k", "v")},
+                  reference_views={"kv": lambda s: s.createDataFrame([("k1", "v1")], "k string, v string")})
+    assert got == [{"t": "jack+v1"}]
+
+
+def test_bad_spec_fails_at_configuration():
+    with pytest.raises(JobSpecError):
+        JobSpec(input_schema=SCHEMA_A_IN, output_schema=SCHEMA_A_OUT, sql="  ")
+    with pytest.raises(JobSpecError):
+        JobSpec(input_schema=SCHEMA_A_IN, output_schema=SCHEMA_A_OUT, sql=SQL_A, on_bad_record="skip")
