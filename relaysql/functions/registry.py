@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from relaysql.functions.library import SqlFunction
 from relaysql.operators.schema import FIELD_TYPES
+from relaysql.session import ship_package
 
 MAX_ARITY = 3
 
@@ -125,14 +126,16 @@ def register_function(session: SparkSession, name: str, obj, arity: int | None =
         if arity is not None and arity != obj.arity:
             raise FunctionConfigError(f"function {name!r} takes {obj.arity} arguments, config says {arity}")
         session.sql(obj.create_statement(name))
-    elif hasattr(obj, "evalType"):  # already a Spark UDF (pandas or Python)
+        return
+    if not callable(obj):
+        raise FunctionConfigError(f"function {name!r}: {type(obj).__name__} is not callable")
+    ship_package(session)
+    if hasattr(obj, "evalType"):  # already a Spark UDF (pandas or Python)
         session.udf.register(name, obj)
     elif getattr(obj, "vectorized", False):
         session.udf.register(name, F.pandas_udf(obj, return_type))
-    elif callable(obj):
-        session.udf.register(name, F.udf(obj, return_type, useArrow=True))
     else:
-        raise FunctionConfigError(f"function {name!r}: {type(obj).__name__} is not callable")
+        session.udf.register(name, F.udf(obj, return_type, useArrow=True))
 
 
 def register_functions(session: SparkSession, specs: tuple[FunctionSpec, ...]) -> None:

@@ -6,9 +6,10 @@ Catalyst prune the parse schema to the fields the SQL actually reads.
 
 Rules (per declared type):
 
-* Every field is parsed as text first (arrays as ``array<string>``), then cast.
-  This is what makes ``"21"``, ``21.9``, ``"1,234"`` and ``true`` usable as
-  numbers, as a lenient JSON library would.
+* A field whose JSON value does not have the declared type is read as text
+  (arrays as ``array<string>``) and cast. This is what makes ``"21"``,
+  ``21.9``, ``"1,234"`` and ``true`` usable as numbers, as a lenient JSON
+  library would.
 * ``int``/``long``/``double``/``float``/``boolean``: a missing key, JSON
   ``null``, ``""``, ``"null"`` or ``"NULL"`` gives ``0`` / ``0.0`` / ``false``.
 * ``string``, arrays and unknown types are non-nullable: a missing value is a
@@ -70,31 +71,36 @@ def _absent(v: Column) -> Column:
     return v.isNull() | F.trim(v).isin(*ABSENT_TEXTS)
 
 
-def _bool_number(v: Column) -> Column:
+def _bool_number(v: Column, dtype: T.DataType) -> Column:
     lv = F.lower(F.trim(v))
-    return F.when(lv == "true", F.lit(1)).when(lv == "false", F.lit(0))
+    return F.when(lv == "true", F.lit(1).cast(dtype)).when(lv == "false", F.lit(0).cast(dtype))
+
+
+def _no_commas(v: Column) -> Column:
+    return F.replace(v, F.lit(","), F.lit(""))
+
+
+# Every cast below is reached only with text that has already passed the cheap
+# checks before it, so a cast fails (and pays for an exception) only on text
+# that is a bad record anyway.
 
 
 def coerce_integral(v: Column, dtype: T.DataType) -> Column:
-    """Text -> int/long, or NULL when not coercible.
+    """Text -> int/long, or NULL when absent or not coercible.
 
-    The plain cast handles the common case; the decimal hop (for ``21.0``,
-    ``1e2``, ``1,234``) only runs when it fails, because ``coalesce`` stops at
-    the first non-null branch.
+    Numbers go through DECIMAL(38,6), which accepts ``21``, ``21.9`` (-> 21),
+    ``1e2`` and, once separators are dropped, ``1,234``; the second cast is
+    NULL on overflow.
     """
-    return F.coalesce(
-        v.try_cast(dtype),
-        _bool_number(v).cast(dtype),
-        F.regexp_replace(v, ",", "").try_cast(_DECIMAL_HOP).try_cast(dtype),
+    return F.when(_absent(v), F.lit(None).cast(dtype)).otherwise(
+        F.coalesce(_bool_number(v, dtype), _no_commas(v).try_cast(_DECIMAL_HOP).try_cast(dtype))
     )
 
 
 def coerce_fractional(v: Column, dtype: T.DataType) -> Column:
-    """Text -> double/float, or NULL when not coercible."""
-    as_double = F.coalesce(
-        v.try_cast(T.DoubleType()),
-        _bool_number(v).cast(T.DoubleType()),
-        F.regexp_replace(v, ",", "").try_cast(T.DoubleType()),
+    """Text -> double/float, or NULL when absent or not coercible."""
+    as_double = F.when(_absent(v), F.lit(None).cast(T.DoubleType())).otherwise(
+        F.coalesce(_bool_number(v, T.DoubleType()), _no_commas(v).try_cast(T.DoubleType()))
     )
     return as_double if isinstance(dtype, T.DoubleType) else as_double.cast(dtype)
 
@@ -116,7 +122,7 @@ _DEFAULTS = {"int": 0, "long": 0, "double": 0.0, "float": 0.0, "boolean": False}
 
 
 def field_rule(f: Field, raw: Column) -> tuple[Column, Column]:
-    """(typed value, bad-record reason or NULL) for one field of the parsed struct."""
+    """(typed value, bad-record reason or NULL) for one field of the all-text parse."""
     missing = F.lit(f"missing:{f.name}")
     coercion = F.lit(f"coercion:{f.name}")
     if f.kind in _DEFAULTS:
@@ -133,8 +139,23 @@ def field_rule(f: Field, raw: Column) -> tuple[Column, Column]:
     return raw, F.when(raw.isNull(), missing)
 
 
+def typed_rule(f: Field, parsed: Column) -> tuple[Column, Column]:
+    """(typed value, reason) for one field of a record the typed parse accepted.
+
+    The typed parse only accepts values already of the declared JSON type, so
+    the one rule left is defaults for nulls and non-null for the rest.
+    """
+    if f.kind in _DEFAULTS:
+        value = parsed.cast(f.data_type) if f.kind == "float" else parsed
+        return F.coalesce(value, F.lit(_DEFAULTS[f.kind]).cast(f.data_type)), F.lit(None).cast("string")
+    if f.kind == "array<int>":
+        typed = F.transform(parsed, lambda x: F.coalesce(x, F.lit(0)))
+        return typed, F.when(parsed.isNull(), F.lit(f"missing:{f.name}"))
+    return parsed, F.when(parsed.isNull(), F.lit(f"missing:{f.name}"))
+
+
 def raw_schema(fields: tuple[Field, ...], corrupt_col: str) -> T.StructType:
-    """The all-text schema handed to ``from_json``."""
+    """The all-text schema of the fallback parse."""
     cols = [
         T.StructField(f.name, T.ArrayType(T.StringType()) if f.is_array else T.StringType(), True)
         for f in fields
@@ -142,6 +163,16 @@ def raw_schema(fields: tuple[Field, ...], corrupt_col: str) -> T.StructType:
     return T.StructType(cols + [T.StructField(corrupt_col, T.StringType(), True)])
 
 
+def typed_schema(fields: tuple[Field, ...], corrupt_col: str) -> T.StructType:
+    """The schema of the first, typed parse (floats are read as doubles, then
+    narrowed, exactly as the text path does)."""
+    cols = [
+        T.StructField(f.name, T.DoubleType() if f.kind == "float" else f.data_type, True)
+        for f in fields
+    ]
+    return T.StructType(cols + [T.StructField(corrupt_col, T.StringType(), True)])
+
+
 def _corrupt_name(fields: tuple[Field, ...]) -> str:
     names = {f.name for f in fields}
     name = "_corrupt_record"
@@ -160,39 +191,53 @@ def decode(
 
     Only the declared fields come out, in declaration order; other columns of
     ``messages`` (topic metadata and so on) are not carried.
+
+    Two parses, the second only when needed: every message is parsed once with
+    the declared types, which is the cheap path for well-typed JSON. A message
+    that does not fit (a number sent as text, ``21.9`` for an int, ``true`` for
+    a number, malformed text) is marked by the parser; only those messages are
+    parsed again as text and go through the coercion rules.
     """
     if on_bad_record not in BAD_RECORD_POLICIES:
         raise ValueError(f"on_bad_record must be one of {BAD_RECORD_POLICIES}, got {on_bad_record!r}")
     corrupt = _corrupt_name(fields)
     msg = F.col(value_col).cast("string")
-    parsed = messages.select(
+    first = messages.select(
         msg.alias("__msg"),
-        F.from_json(msg, raw_schema(fields, corrupt), JSON_OPTIONS).alias("__j"),
+        F.from_json(msg, typed_schema(fields, corrupt), JSON_OPTIONS).alias("__t"),
+    )
+    t = F.col("__t")
+    misfit = t.getField(corrupt).isNotNull()
+    parsed = first.select(
+        "__msg", "__t",
+        F.when(misfit, F.from_json(F.col("__msg"), raw_schema(fields, corrupt), JSON_OPTIONS)).alias("__s"),
     )
-    j = F.col("__j")
+    s = F.col("__s")
     typed, reasons = [], []
     for f in fields:
-        value, reason = field_rule(f, j.getField(f.name))
-        typed.append(value.alias(f.name))
-        reasons.append(reason)
+        fast_value, fast_reason = typed_rule(f, t.getField(f.name))
+        slow_value, slow_reason = field_rule(f, s.getField(f.name))
+        typed.append(F.when(misfit, slow_value).otherwise(fast_value).alias(f.name))
+        reasons.append(F.when(misfit, slow_reason).otherwise(fast_reason))
     m = F.col("__msg")
     reason = F.coalesce(
         F.when(m.isNull() | (F.trim(m) == ""), F.lit("empty")),
-        F.when(j.getField(corrupt).isNotNull(), F.lit("malformed")),
+        F.when(misfit & s.getField(corrupt).isNotNull(), F.lit("malformed")),
         *reasons,
     )
-    # One row in, one row out: the generator evaluates the parse, the casts and
-    # the reason once per message. A filter on the reason cannot be pushed below
-    # a generator, so Catalyst cannot inline the parse into the filter N times.
+    # One row in, one row out: the generator evaluates the casts and the reason
+    # once per message. A filter on the reason cannot be pushed below a
+    # generator, so Catalyst cannot inline the parses into the filter N times.
     checked = parsed.select(
         F.inline(F.array(F.struct(m.alias("__msg"), reason.alias("__reason"), *typed)))
     )
     r = F.col("__reason")
+    names = [qcol(f.name) for f in fields]
     if on_bad_record == "fail":
         guard = F.when(r.isNull(), F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit("bad record ("), r, F.lit("): "), F.coalesce(F.col("__msg"), F.lit("NULL"))))
         )
-        return Decoded(checked.where(guard).select(*[qcol(f.name) for f in fields]), None)
-    rows = checked.where(r.isNull()).select(*[qcol(f.name) for f in fields])
+        return Decoded(checked.where(guard).select(*names), None)
+    rows = checked.where(r.isNull()).select(*names)
     rejected = checked.where(r.isNotNull()).select(F.col("__msg").alias("value"), r.alias("reason"))
     return Decoded(rows, rejected)

@@ -39,14 +39,22 @@ class BatchResult:
 
 class SqlJob:
     def __init__(self, spec: JobSpec, extra_functions: dict | None = None,
-                 reference_views: dict[str, Callable[[SparkSession], DataFrame] | str] | None = None):
+                 reference_views: dict[str, Callable[[SparkSession], DataFrame] | str] | None = None,
+                 rebalance: bool = True):
         """``extra_functions`` maps names to function objects registered beside
         the config's; ``reference_views`` are extra read-only views (lookup
         tables) the SQL and SQL-bodied lookup functions may name, each given as
-        a parquet path or as a function building the DataFrame in a session."""
+        a parquet path or as a function building the DataFrame in a session.
+
+        ``rebalance``: decoding is CPU-bound, so when a batch arrives in fewer
+        partitions than the cluster has task slots (few topic partitions, one
+        large file), it is spread round-robin over all slots first. A batch that
+        already has enough partitions - the normal case at scale - is left as it
+        is, with no shuffle."""
         self.spec = spec
         self.extra_functions = dict(extra_functions or {})
         self.reference_views = dict(reference_views or {})
+        self.rebalance = rebalance
 
     def open(self, spark: SparkSession) -> SparkSession:
         """A session for this job with its functions and reference views registered."""
@@ -69,6 +77,8 @@ class SqlJob:
         The view is made in ``messages``' own session, which must be one from
         :meth:`open` (or a streaming batch of it).
         """
+        if self.rebalance:
+            messages = spread(messages)
         decoded = decode(messages, self.spec.input_fields, self.spec.on_bad_record, value_col)
         decoded.rows.createOrReplaceTempView(SOURCE_VIEW)
         result = messages.sparkSession.sql(self.spec.sql)
@@ -76,6 +86,14 @@ class SqlJob:
         return BatchResult(decoded.rows, result, shaped, encode_json(shaped), decoded.rejected)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over all task slots if it has fewer partitions than slots."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
     """Q2: the first ``n`` result rows, as ``show()`` would print them."""
     return df.limit(n)

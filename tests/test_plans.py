@@ -17,10 +17,22 @@ def test_flagship_plan(spark):
     s = job.open(spark)
     out = job.run_batch(event_messages(s, SF))
     plan = _plan(out.values)
-    assert len(re.findall(r"from_json\(", plan)) == 1  # one parse per message
+    # one typed parse per message; the text parse only under CASE WHEN the typed one misfit
+    assert len(re.findall(r"from_json\(", plan)) == 2
+    assert re.search(r"CASE WHEN isnotnull\(__t#\d+\._corrupt_record\) THEN from_json\(", plan)
     assert "ExistingRDD" not in plan and "Python" not in plan  # no .rdd step, no Python worker
-    assert "Exchange" not in plan  # map-only job
-    assert "Generate" in plan and "WholeStageCodegen" in plan or "*(" in plan
+    # the only exchange is the round-robin spread of a one-partition input over the task slots
+    exchanges = re.findall(r"Exchange (\w+)", plan)
+    assert exchanges in ([], ["RoundRobinPartitioning"])
+    assert "Generate" in plan
+
+
+def test_no_spread_when_input_is_already_parallel(spark):
+    job = flagship_job()
+    s = job.open(spark)
+    msgs = event_messages(s, SF).repartition(s.sparkContext.defaultParallelism)
+    plan = _plan(job.run_batch(msgs).values)
+    assert len(re.findall(r"Exchange", plan)) == 1
 
 
 def test_scan_is_pruned_and_filter_pushed(spark):
@@ -42,5 +54,6 @@ def test_user_filter_runs_after_the_guard_in_one_stage(spark):
     s = job.open(spark)
     job.run_batch(event_messages(s, SF))
     plan = _plan(s.sql("select event_type, count(*) from source where user_id > 5 group by event_type"))
-    assert len(re.findall(r"from_json\(", plan)) == 1
+    assert len(re.findall(r"from_json\(", plan)) == 2  # typed parse + conditional text parse
+    assert re.search(r"Filter \(CASE WHEN isnull\(__reason#\d+\) THEN true ELSE .* AND \(user_id#\d+L > 5\)\)", plan)
     assert "partial_count" in plan  # map-side partial aggregate before the shuffle
