@@ -61,10 +61,15 @@ _DECIMAL_HOP = T.DecimalType(38, 6)
 
 @dataclass(frozen=True)
 class Decoded:
-    """Result of :func:`decode`: the typed rows and, under quarantine, the rejects."""
+    """Result of :func:`decode`: the typed rows and, under quarantine, the rejects.
+
+    ``checked`` is the stage both come from (message, reason, typed fields);
+    persisting it makes the rows and the rejects share one parse.
+    """
 
     rows: DataFrame
     rejected: DataFrame | None
+    checked: DataFrame
 
 
 def _absent(v: Column) -> Column:
@@ -237,7 +242,7 @@ def decode(
         guard = F.when(r.isNull(), F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit("bad record ("), r, F.lit("): "), F.coalesce(F.col("__msg"), F.lit("NULL"))))
         )
-        return Decoded(checked.where(guard).select(*names), None)
+        return Decoded(checked.where(guard).select(*names), None, checked)
     rows = checked.where(r.isNull()).select(*names)
     rejected = checked.where(r.isNotNull()).select(F.col("__msg").alias("value"), r.alias("reason"))
-    return Decoded(rows, rejected)
+    return Decoded(rows, rejected, checked)

@@ -35,12 +35,13 @@ class BatchResult:
     shaped: DataFrame        # projected onto the output schema, nulls resolved
     values: DataFrame        # one JSON text per row, column ``value``
     rejected: DataFrame | None  # bad messages (value, reason) under quarantine
+    checked: DataFrame       # decode stage shared by ``source`` and ``rejected``
 
 
 class SqlJob:
     def __init__(self, spec: JobSpec, extra_functions: dict | None = None,
                  reference_views: dict[str, Callable[[SparkSession], DataFrame] | str] | None = None,
-                 rebalance: bool = True):
+                 rebalance: bool | int = True):
         """``extra_functions`` maps names to function objects registered beside
         the config's; ``reference_views`` are extra read-only views (lookup
         tables) the SQL and SQL-bodied lookup functions may name, each given as
@@ -48,9 +49,10 @@ class SqlJob:
 
         ``rebalance``: decoding is CPU-bound, so when a batch arrives in fewer
         partitions than the cluster has task slots (few topic partitions, one
-        large file), it is spread round-robin over all slots first. A batch that
-        already has enough partitions - the normal case at scale - is left as it
-        is, with no shuffle."""
+        large file), it is spread round-robin over all slots first (or over
+        ``rebalance`` partitions when an int is given). A batch that already has
+        enough partitions - the normal case at scale, and always for a topic read
+        with ``minPartitions`` - is left as it is, with no shuffle."""
         self.spec = spec
         self.extra_functions = dict(extra_functions or {})
         self.reference_views = dict(reference_views or {})
@@ -78,19 +80,20 @@ class SqlJob:
         :meth:`open` (or a streaming batch of it).
         """
         if self.rebalance:
-            messages = spread(messages)
+            messages = spread(messages, None if self.rebalance is True else int(self.rebalance))
         decoded = decode(messages, self.spec.input_fields, self.spec.on_bad_record, value_col)
         decoded.rows.createOrReplaceTempView(SOURCE_VIEW)
         result = messages.sparkSession.sql(self.spec.sql)
         shaped = shape(result, self.spec.output_fields) if self.spec.output_fields else result
-        return BatchResult(decoded.rows, result, shaped, encode_json(shaped), decoded.rejected)
+        return BatchResult(decoded.rows, result, shaped, encode_json(shaped), decoded.rejected, decoded.checked)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over all task slots if it has fewer partitions than slots."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
+def spread(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``target`` partitions (default: all task slots)
+    if it has fewer; otherwise leave it alone."""
+    target = target or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
     return df
 
 

@@ -79,6 +79,9 @@ class MessageSource:
 
 def kafka_source(servers: str, topic: str, group_id: str = "", starting_offsets: str = "latest",
                  **options) -> MessageSource:
+    """A topic source. Pass ``minPartitions`` (e.g. the cluster's task slots) to
+    split topic partitions into more Spark partitions without a shuffle, and
+    ``maxOffsetsPerTrigger`` to bound one micro-batch."""
     return MessageSource("kafka", servers, topic, group_id, starting_offsets, options)
 
 

@@ -13,9 +13,10 @@ effectively once to the text sink, which overwrites a re-run batch's folder.
 Tasks lost with an executor are retried by Spark from the batch's source
 offsets; nothing is held on the driver.
 
-When a batch has two outputs (results and quarantined messages) or a preview,
-the decoded batch is persisted (memory and disk) for the duration of the batch
-so the source is read once, then released.
+When a batch has two outputs (results and quarantined messages) the decoded
+batch is persisted (memory and disk) for the duration of the batch, so the
+messages are read and parsed once; with a preview the shaped result is
+persisted, so the SQL runs once. Both are released when the batch is done.
 """
 
 from __future__ import annotations
@@ -34,19 +35,21 @@ def batch_handler(job: SqlJob, sink: MessageSink, quarantine: MessageSink | None
     """The ``foreachBatch`` function: run the job on the batch and publish."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        two_outputs = quarantine is not None or show_preview
-        if two_outputs:
-            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        out = job.run_batch(batch)
+        held = []
+        if quarantine is not None:
+            held.append(out.checked.persist(StorageLevel.MEMORY_AND_DISK))
+        if show_preview:
+            held.append(out.shaped.persist(StorageLevel.MEMORY_AND_DISK))
         try:
-            out = job.run_batch(batch)
             if show_preview:
                 preview(out.shaped).show(truncate=False)
             sink.write(out.values, batch_id)
             if quarantine is not None and out.rejected is not None:
                 quarantine.write(out.rejected.selectExpr("to_json(struct(*)) AS value"), batch_id)
         finally:
-            if two_outputs:
-                batch.unpersist()
+            for df in held:
+                df.unpersist()
 
     return handle
 

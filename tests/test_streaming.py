@@ -60,3 +60,34 @@ def test_kafka_options():
     assert dump["startingOffsets"] == "earliest" and dump["endingOffsets"] == "latest"
     assert kafka_sink("h:9092", "stu_clean").writer_options() == {"kafka.bootstrap.servers": "h:9092",
                                                                   "topic": "stu_clean"}
+
+
+def test_quarantine_batch_parses_once(spark):
+    from relaysql.plans.job import SqlJob as Job
+
+    job = Job(JobSpec(input_schema=IN, output_schema='{"k":"int"}', sql="select k from source",
+                      on_bad_record="quarantine"))
+    s = job.open(spark)
+    out = job.run_batch(s.createDataFrame([('{"k":1,"t":"a"}',), ("oops",), ('{"k":2}',)], "value string"))
+    out.checked.persist()
+    try:
+        for df in (out.values, out.rejected):
+            assert "InMemoryTableScan" in df._jdf.queryExecution().executedPlan().toString()
+        assert [r.value for r in out.values.collect()] == ['{"k":1}']
+        assert sorted(r.reason for r in out.rejected.collect()) == ["malformed", "missing:t"]
+    finally:
+        out.checked.unpersist()
+
+
+def test_cli_runs_text_job(spark, tmp_path):
+    from relaysql.__main__ import main
+
+    topic, out = shared_path(spark, "cli", "in"), shared_path(spark, "cli", "out")
+    _publish(spark, topic, ['{"name":"jack","age":21}'])
+    funcs = ('[{"name":"m1","mainClass":"relaysql.functions.library:suffix_new",'
+             '"param":"(String)","returnType":"string"}]')
+    args = ["local[2]", "5", "cli-test", topic, out, "stu", "stu_clean", "g1", '{"name":"string","age":"int"}',
+            '{"newname":"string","age":"int"}', funcs, "select m1(name) as newname,age from source",
+            "--transport", "text", "--available-now", "--checkpoint", str(tmp_path / "ckpt")]
+    assert main(args) == 0
+    assert _read(spark, out) == [{"newname": "jack_new", "age": 21}]
