@@ -273,9 +273,9 @@ def bad_record_quarantine(spark, sf_dir):
             .otherwise(F.lit("")).alias("value"))
 
     out = run(spark, job, messages)
-    ok = out.source.groupBy(F.lit("ok").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
-    bad = out.rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
-    return ok.unionByName(bad)
+    # one pass over the decode stage that both the rows and the rejects come from
+    return out.checked.groupBy(F.coalesce("__reason", F.lit("ok")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 register("schema_drop_unknown", "SELECT CAST(event_id AS INTEGER) AS event_id, event_type FROM events")(

@@ -48,17 +48,17 @@ def _conf(spark: SparkSession, key: str) -> str | None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set to a fresh local folder only if unset."""
-    root = _conf(spark, CHECKPOINT_CONF)
+    """The shared checkpoint folder.
+
+    ``spark.checkpoint.dir`` when set, else the context's checkpoint folder;
+    only when neither is set (local runs, tests) is a local folder created and
+    made the context's checkpoint folder, so later calls find the same one.
+    """
+    root = _conf(spark, CHECKPOINT_CONF) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
-    root = tempfile.mkdtemp(prefix="relaysql-checkpoint-")
-    try:
-        spark.conf.set(CHECKPOINT_CONF, root)
-    except Exception:  # static conf on some deployments: fall back to the context
-        pass
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="relaysql-checkpoint-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
