@@ -230,19 +230,27 @@ def decode(
         F.when(misfit & s.getField(corrupt).isNotNull(), F.lit("malformed")),
         *reasons,
     )
-    # One row in, one row out: the generator evaluates the casts and the reason
-    # once per message. A filter on the reason cannot be pushed below a
-    # generator, so Catalyst cannot inline the parses into the filter N times.
-    checked = parsed.select(
-        F.inline(F.array(F.struct(m.alias("__msg"), reason.alias("__reason"), *typed)))
-    )
-    r = F.col("__reason")
+    # The reason is computed once in a projection; then typed values and reason
+    # come out of a one-row generator. Filters on generator outputs cannot be
+    # pushed below it - neither the guard nor a user's filter on a decoded
+    # column - so Catalyst cannot inline the parses into a predicate once per
+    # reference.
     names = [qcol(f.name) for f in fields]
     if on_bad_record == "fail":
-        guard = F.when(r.isNull(), F.lit(True)).otherwise(
-            F.raise_error(F.concat(F.lit("bad record ("), r, F.lit("): "), F.coalesce(F.col("__msg"), F.lit("NULL"))))
-        )
+        # the error text is built for bad rows only, so the message itself does
+        # not travel past the generator
+        error = F.when(reason.isNotNull(), F.concat(
+            F.lit("bad record ("), reason, F.lit("): "), F.coalesce(m, F.lit("NULL"))))
+        with_error = parsed.select("__t", "__s", error.alias("__e"))
+        checked = with_error.select(F.inline(F.array(F.struct(F.col("__e").alias("__reason"), *typed))))
+        e = F.col("__reason")
+        guard = F.when(e.isNull(), F.lit(True)).otherwise(F.raise_error(e))
         return Decoded(checked.where(guard).select(*names), None, checked)
+    with_reason = parsed.select("__msg", "__t", "__s", reason.alias("__r"))
+    r0 = F.col("__r")
+    checked = with_reason.select(F.inline(F.array(F.struct(
+        F.when(r0.isNotNull(), m).alias("__msg"), r0.alias("__reason"), *typed))))
+    r = F.col("__reason")
     rows = checked.where(r.isNull()).select(*names)
     rejected = checked.where(r.isNotNull()).select(F.col("__msg").alias("value"), r.alias("reason"))
     return Decoded(rows, rejected, checked)
