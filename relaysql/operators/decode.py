@@ -186,71 +186,85 @@ def _corrupt_name(fields: tuple[Field, ...]) -> str:
     return name
 
 
-def decode(
-    messages: DataFrame,
-    fields: tuple[Field, ...],
-    on_bad_record: str = "fail",
-    value_col: str = "value",
-) -> Decoded:
-    """Decode the ``value_col`` text of ``messages`` into typed ``fields``.
+class Decoder:
+    """Decode JSON message text into typed ``fields``.
 
     Only the declared fields come out, in declaration order; other columns of
-    ``messages`` (topic metadata and so on) are not carried.
+    the messages (topic metadata and so on) are not carried.
 
     Two parses, the second only when needed: every message is parsed once with
     the declared types, which is the cheap path for well-typed JSON. A message
     that does not fit (a number sent as text, ``21.9`` for an int, ``true`` for
     a number, malformed text) is marked by the parser; only those messages are
     parsed again as text and go through the coercion rules.
+
+    The column expressions are built once here and reused for every batch, so a
+    micro-batch costs the driver only a few plan calls.
     """
-    if on_bad_record not in BAD_RECORD_POLICIES:
-        raise ValueError(f"on_bad_record must be one of {BAD_RECORD_POLICIES}, got {on_bad_record!r}")
-    corrupt = _corrupt_name(fields)
-    msg = F.col(value_col).cast("string")
-    first = messages.select(
-        msg.alias("__msg"),
-        F.from_json(msg, typed_schema(fields, corrupt), JSON_OPTIONS).alias("__t"),
-    )
-    t = F.col("__t")
-    misfit = t.getField(corrupt).isNotNull()
-    parsed = first.select(
-        "__msg", "__t",
-        F.when(misfit, F.from_json(F.col("__msg"), raw_schema(fields, corrupt), JSON_OPTIONS)).alias("__s"),
-    )
-    s = F.col("__s")
-    typed, reasons = [], []
-    for f in fields:
-        fast_value, fast_reason = typed_rule(f, t.getField(f.name))
-        slow_value, slow_reason = field_rule(f, s.getField(f.name))
-        typed.append(F.when(misfit, slow_value).otherwise(fast_value).alias(f.name))
-        reasons.append(F.when(misfit, slow_reason).otherwise(fast_reason))
-    m = F.col("__msg")
-    reason = F.coalesce(
-        F.when(m.isNull() | (F.trim(m) == ""), F.lit("empty")),
-        F.when(misfit & s.getField(corrupt).isNotNull(), F.lit("malformed")),
-        *reasons,
-    )
-    # The reason is computed once in a projection; then typed values and reason
-    # come out of a one-row generator. Filters on generator outputs cannot be
-    # pushed below it - neither the guard nor a user's filter on a decoded
-    # column - so Catalyst cannot inline the parses into a predicate once per
-    # reference.
-    names = [qcol(f.name) for f in fields]
-    if on_bad_record == "fail":
-        # the error text is built for bad rows only, so the message itself does
-        # not travel past the generator
-        error = F.when(reason.isNotNull(), F.concat(
-            F.lit("bad record ("), reason, F.lit("): "), F.coalesce(m, F.lit("NULL"))))
-        with_error = parsed.select("__t", "__s", error.alias("__e"))
-        checked = with_error.select(F.inline(F.array(F.struct(F.col("__e").alias("__reason"), *typed))))
-        e = F.col("__reason")
-        guard = F.when(e.isNull(), F.lit(True)).otherwise(F.raise_error(e))
-        return Decoded(checked.where(guard).select(*names), None, checked)
-    with_reason = parsed.select("__msg", "__t", "__s", reason.alias("__r"))
-    r0 = F.col("__r")
-    checked = with_reason.select(F.inline(F.array(F.struct(
-        F.when(r0.isNotNull(), m).alias("__msg"), r0.alias("__reason"), *typed))))
-    r = F.col("__reason")
-    rows = checked.where(r.isNull()).select(*names)
-    rejected = checked.where(r.isNotNull()).select(F.col("__msg").alias("value"), r.alias("reason"))
-    return Decoded(rows, rejected, checked)
+
+    def __init__(self, fields: tuple[Field, ...], on_bad_record: str = "fail"):
+        if on_bad_record not in BAD_RECORD_POLICIES:
+            raise ValueError(f"on_bad_record must be one of {BAD_RECORD_POLICIES}, got {on_bad_record!r}")
+        self.fields = fields
+        self.on_bad_record = on_bad_record
+        corrupt = _corrupt_name(fields)
+        self._typed_schema = typed_schema(fields, corrupt)
+        t = F.col("__t")
+        misfit = t.getField(corrupt).isNotNull()
+        self._fallback = F.when(
+            misfit, F.from_json(F.col("__msg"), raw_schema(fields, corrupt), JSON_OPTIONS)).alias("__s")
+        s = F.col("__s")
+        typed, reasons = [], []
+        for f in fields:
+            fast_value, fast_reason = typed_rule(f, t.getField(f.name))
+            slow_value, slow_reason = field_rule(f, s.getField(f.name))
+            typed.append(F.when(misfit, slow_value).otherwise(fast_value).alias(f.name))
+            reasons.append(F.when(misfit, slow_reason).otherwise(fast_reason))
+        m = F.col("__msg")
+        reason = F.coalesce(
+            F.when(m.isNull() | (F.trim(m) == ""), F.lit("empty")),
+            F.when(misfit & s.getField(corrupt).isNotNull(), F.lit("malformed")),
+            *reasons,
+        )
+        # The reason is computed once in a projection; then typed values and
+        # reason come out of a one-row generator. Filters on generator outputs
+        # cannot be pushed below it - neither the guard nor a user's filter on a
+        # decoded column - so Catalyst cannot inline the parses into a predicate
+        # once per reference.
+        self._names = [qcol(f.name) for f in fields]
+        if on_bad_record == "fail":
+            # the error text is built for bad rows only, so the message itself
+            # does not travel past the generator
+            error = F.when(reason.isNotNull(), F.concat(
+                F.lit("bad record ("), reason, F.lit("): "), F.coalesce(m, F.lit("NULL"))))
+            self._stage = [F.col("__t"), s, error.alias("__r")]
+            self._generate = F.inline(F.array(F.struct(F.col("__r").alias("__reason"), *typed)))
+            e = F.col("__reason")
+            self._guard = F.when(e.isNull(), F.lit(True)).otherwise(F.raise_error(e))
+        else:
+            r0 = F.col("__r")
+            self._stage = [m, F.col("__t"), s, reason.alias("__r")]
+            self._generate = F.inline(F.array(F.struct(
+                F.when(r0.isNotNull(), m).alias("__msg"), r0.alias("__reason"), *typed)))
+
+    def __call__(self, messages: DataFrame, value_col: str = "value") -> Decoded:
+        msg = F.col(value_col).cast("string")
+        first = messages.select(msg.alias("__msg"), F.from_json(msg, self._typed_schema, JSON_OPTIONS).alias("__t"))
+        parsed = first.select(F.col("__msg"), F.col("__t"), self._fallback)
+        checked = parsed.select(*self._stage).select(self._generate)
+        if self.on_bad_record == "fail":
+            return Decoded(checked.where(self._guard).select(*self._names), None, checked)
+        r = F.col("__reason")
+        rows = checked.where(r.isNull()).select(*self._names)
+        rejected = checked.where(r.isNotNull()).select(F.col("__msg").alias("value"), r.alias("reason"))
+        return Decoded(rows, rejected, checked)
+
+
+def decode(
+    messages: DataFrame,
+    fields: tuple[Field, ...],
+    on_bad_record: str = "fail",
+    value_col: str = "value",
+) -> Decoded:
+    """Decode the ``value_col`` text of ``messages`` (see :class:`Decoder`)."""
+    return Decoder(fields, on_bad_record)(messages, value_col)

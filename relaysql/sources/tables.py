@@ -19,8 +19,16 @@ def read_table(session: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def as_messages(df: DataFrame, *fields: Column | str) -> DataFrame:
-    """One JSON object text per row, made from ``fields``, in column ``value``."""
-    return df.select(F.to_json(F.struct(*fields)).alias("value"))
+    """One JSON object text per row, made from ``fields``, in column ``value``.
+
+    Like a producer writing to a topic with many partitions, the rows are first
+    spread over the task slots when the table arrives in fewer partitions (the
+    driver tables are single parquet row groups); a table that is already split
+    is serialised where it lies.
+    """
+    from relaysql.plans.job import spread
+
+    return spread(df).select(F.to_json(F.struct(*fields)).alias("value"))
 
 
 def event_fields() -> list[Column]:
