@@ -104,7 +104,3 @@ def struct_type(fields: tuple[Field, ...]) -> T.StructType:
     """The Spark struct of the decoded table."""
     return T.StructType([T.StructField(f.name, f.data_type, True) for f in fields])
 
-
-def ddl(fields: tuple[Field, ...]) -> str:
-    """DDL text of the decoded table, e.g. ``name STRING, age INT``."""
-    return struct_type(fields).simpleString()[len("struct<"):-1]

@@ -11,12 +11,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaysql.functions import library
 from relaysql.functions.lookup import const_lookup, lookup_join
 from relaysql.plans.conformance import CONFORMANCE, ROWS_ONLY
 from relaysql.plans.job import BatchResult, SqlJob, preview
@@ -559,11 +557,3 @@ for _name, (_spark_sql, _duck_sql) in CONFORMANCE.items():
 for _name, _spark_sql in ROWS_ONLY.items():
     register(_name)(sql_output(_spark_sql))
 
-
-@dataclass(frozen=True)
-class Catalog:
-    queries: dict[str, Query]
-    oracles: dict[str, str]
-
-
-CATALOG = Catalog(QUERIES, ORACLES)
