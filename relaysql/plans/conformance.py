@@ -105,11 +105,14 @@ CONFORMANCE: dict[str, tuple[str, str | None]] = {
         "GROUP BY GROUPING SETS ((event_type), (bucket), ())",
         None,
     ),
+    # collected sets are over bounded domains (event types, their initials)
     "sql_collect": (
         "SELECT user_id, array_join(sort_array(collect_set(event_type)), ',') AS types, "
-        "size(collect_set(substr(ts, 1, 10))) AS days FROM source GROUP BY user_id",
+        "array_join(sort_array(collect_set(substr(event_type, 1, 1))), '') AS initials, "
+        "size(collect_set(event_type)) AS n_types FROM source GROUP BY user_id",
         "SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS types, "
-        "CAST(count(DISTINCT substr(ts, 1, 10)) AS INTEGER) AS days FROM source GROUP BY user_id",
+        "array_to_string(list_sort(list(DISTINCT substr(event_type, 1, 1))), '') AS initials, "
+        "CAST(count(DISTINCT event_type) AS INTEGER) AS n_types FROM source GROUP BY user_id",
     ),
     "sql_pivot": (
         "SELECT user_id, coalesce(n_view, 0) AS n_view, coalesce(n_click, 0) AS n_click, "

@@ -23,6 +23,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TRANSPORTS = ("kafka", "text")
+KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13"
+
+
+class ConnectorMissing(RuntimeError):
+    """The Kafka connector is not on the classpath."""
+
+
+def _kafka_missing(e: Exception) -> bool:
+    text = str(e).lower()
+    return "kafka" in text and "find" in text and "data source" in text
+
+
+def _missing(e: Exception) -> ConnectorMissing:
+    return ConnectorMissing(
+        f"the Kafka source/sink needs {KAFKA_PACKAGE}:<spark version> on the classpath "
+        "(e.g. spark-submit --packages); the text transport works without it")
+
+
+def _load(reader, transport: str, *path: str) -> DataFrame:
+    try:
+        return reader.load(*path)
+    except Exception as e:  # AnalysisException from the data source lookup
+        if transport == "kafka" and _kafka_missing(e):
+            raise _missing(e) from e
+        raise
 
 
 def value_only(records: DataFrame) -> DataFrame:
@@ -66,15 +91,15 @@ class MessageSource:
     def read_stream(self, session: SparkSession) -> DataFrame:
         reader = session.readStream.format(self.transport).options(**self.reader_options(True))
         if self.transport == "text":
-            return reader.load(self.location)
-        return value_only(reader.load())
+            return _load(reader, self.transport, self.location)
+        return value_only(_load(reader, self.transport))
 
     def read(self, session: SparkSession) -> DataFrame:
         """Batch read of what is in the topic now (S3 reads from ``earliest``)."""
         reader = session.read.format(self.transport).options(**self.reader_options(False))
         if self.transport == "text":
-            return reader.load(self.location)
-        return value_only(reader.load())
+            return _load(reader, self.transport, self.location)
+        return value_only(_load(reader, self.transport))
 
 
 def kafka_source(servers: str, topic: str, group_id: str = "", starting_offsets: str = "latest",
@@ -120,7 +145,12 @@ class MessageSink:
         """
         out = values.select(F.col("value").cast("string").alias("value"))
         if self.transport == "kafka":
-            out.write.format("kafka").options(**self.writer_options()).save()
+            try:
+                out.write.format("kafka").options(**self.writer_options()).save()
+            except Exception as e:
+                if _kafka_missing(e):
+                    raise _missing(e) from e
+                raise
             return
         if batch_id is None:
             out.write.mode("append").options(**self.writer_options()).text(self.location)

@@ -91,3 +91,21 @@ def test_cli_runs_text_job(spark, tmp_path):
             "--transport", "text", "--available-now", "--checkpoint", str(tmp_path / "ckpt")]
     assert main(args) == 0
     assert _read(spark, out) == [{"newname": "jack_new", "age": 21}]
+
+
+def test_missing_kafka_connector_is_explained(spark):
+    import pytest
+
+    from relaysql.sources.topic import ConnectorMissing
+
+    with pytest.raises(ConnectorMissing, match="spark-sql-kafka"):
+        kafka_source("localhost:1", "stu").read(spark)
+
+
+def test_missing_kafka_connector_on_write(spark):
+    import pytest
+
+    from relaysql.sources.topic import ConnectorMissing
+
+    with pytest.raises(ConnectorMissing):
+        kafka_sink("localhost:1", "out").write(spark.createDataFrame([("x",)], "value string"))
