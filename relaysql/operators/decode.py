@@ -50,6 +50,7 @@ FALSE_TEXTS = ("false", "0", "n", "f")
 
 JSON_OPTIONS = {
     "mode": "PERMISSIVE",
+    "locale": "en-US",  # decimals read from JSON text drop "," separators
     "allowUnquotedFieldNames": "true",
     "allowSingleQuotes": "true",
     "allowNumericLeadingZeros": "true",
@@ -147,15 +148,24 @@ def field_rule(f: Field, raw: Column) -> tuple[Column, Column]:
 def typed_rule(f: Field, parsed: Column) -> tuple[Column, Column]:
     """(typed value, reason) for one field of a record the typed parse accepted.
 
-    The typed parse only accepts values already of the declared JSON type, so
-    the one rule left is defaults for nulls and non-null for the rest.
+    Integral fields were read as DECIMAL(38,6), which takes JSON integers,
+    JSON fractions and numeric text with "," separators exactly as the text
+    rules do; narrowing truncates, and a value outside the declared range is a
+    bad record. Other fields were read with their declared type, so the only
+    rules left are defaults for nulls and non-null for the rest.
     """
+    coercion = F.lit(f"coercion:{f.name}")
+    if f.kind in ("int", "long"):
+        narrowed = parsed.try_cast(f.data_type)
+        value = F.coalesce(narrowed, F.lit(0).cast(f.data_type))
+        return value, F.when(parsed.isNotNull() & narrowed.isNull(), coercion)
     if f.kind in _DEFAULTS:
         value = parsed.cast(f.data_type) if f.kind == "float" else parsed
         return F.coalesce(value, F.lit(_DEFAULTS[f.kind]).cast(f.data_type)), F.lit(None).cast("string")
     if f.kind == "array<int>":
-        typed = F.transform(parsed, lambda x: F.coalesce(x, F.lit(0)))
-        return typed, F.when(parsed.isNull(), F.lit(f"missing:{f.name}"))
+        typed = F.transform(parsed, lambda x: F.coalesce(x.try_cast(T.IntegerType()), F.lit(0)))
+        overflow = F.exists(parsed, lambda x: x.isNotNull() & x.try_cast(T.IntegerType()).isNull())
+        return typed, F.when(parsed.isNull(), F.lit(f"missing:{f.name}")).when(overflow, coercion)
     return parsed, F.when(parsed.isNull(), F.lit(f"missing:{f.name}"))
 
 
@@ -168,13 +178,21 @@ def raw_schema(fields: tuple[Field, ...], corrupt_col: str) -> T.StructType:
     return T.StructType(cols + [T.StructField(corrupt_col, T.StringType(), True)])
 
 
+def _typed_read_type(f: Field) -> T.DataType:
+    if f.kind in ("int", "long"):
+        return _DECIMAL_HOP
+    if f.kind == "array<int>":
+        return T.ArrayType(_DECIMAL_HOP)
+    if f.kind == "float":
+        return T.DoubleType()
+    return f.data_type
+
+
 def typed_schema(fields: tuple[Field, ...], corrupt_col: str) -> T.StructType:
-    """The schema of the first, typed parse (floats are read as doubles, then
-    narrowed, exactly as the text path does)."""
-    cols = [
-        T.StructField(f.name, T.DoubleType() if f.kind == "float" else f.data_type, True)
-        for f in fields
-    ]
+    """The schema of the first, typed parse: integral values are read as
+    DECIMAL(38,6) and floats as doubles, then narrowed, exactly as the text
+    path does."""
+    cols = [T.StructField(f.name, _typed_read_type(f), True) for f in fields]
     return T.StructType(cols + [T.StructField(corrupt_col, T.StringType(), True)])
 
 
