@@ -534,8 +534,20 @@ def _stream_in_parts(spark: SparkSession, sf_dir: str, job: SqlJob, parts: int =
 
 @register("stream_sql_job", FLAGSHIP_ORACLE)
 def stream_sql_job(spark, sf_dir):
-    """The flagship job as a stream over a topic (text twin), three batches."""
-    return _stream_in_parts(spark, sf_dir, flagship_job()).select("value")
+    """The flagship job as a stream over a topic (text twin).
+
+    All ``events`` messages are published at once; one ``availableNow`` run then
+    cuts them into several micro-batches (``maxFilesPerTrigger``), each decoded,
+    queried and published by ``foreachBatch``."""
+    topic = shared_path(spark, "streams", "in")
+    out = shared_path(spark, "streams", "out")
+    text_sink(topic).write(as_messages(read_table(spark, sf_dir, "events"), *event_fields()))
+    query = start_stream(flagship_job(), spark, text_source(topic, maxFilesPerTrigger=3), text_sink(out),
+                         checkpoint=shared_path(spark, "streams", "checkpoint"), available_now=True)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"stream failed: {query.exception()}")
+    return text_source(out).read(spark).select("value")
 
 
 @register("stream_batch_local_agg",
