@@ -1,8 +1,9 @@
 """Decode JSON message text into the typed table ``source``.
 
-The whole decode is one ``from_json`` per message plus column expressions, so it
-stays inside whole-stage codegen, runs map-side with no shuffle, and lets
-Catalyst prune the parse schema to the fields the SQL actually reads.
+The decode is column expressions over the message text: a typed ``from_json``
+for every message, a text ``from_json`` only for messages that do not fit the
+declared types, then the rules below. It runs map-side with no shuffle, and
+every field is checked (a bad record is bad whichever columns the SQL reads).
 
 Rules (per declared type):
 
@@ -229,19 +230,32 @@ class Decoder:
         self._typed_schema = typed_schema(fields, corrupt)
         t = F.col("__t")
         misfit = t.getField(corrupt).isNotNull()
-        self._fallback = F.when(
-            misfit, F.from_json(F.col("__msg"), raw_schema(fields, corrupt), JSON_OPTIONS)).alias("__s")
+
+        # Text path, for misfit messages only: parse again as text and apply the
+        # coercion rules, all inside one lambda over a one-element array. The
+        # lambda is evaluated as an expression tree, not inlined into generated
+        # code, so the hot loop of the stage keeps only the typed path and stays
+        # small enough for the JIT (inlining the text rules of ten fields made a
+        # 24 KB method the JVM refuses to compile).
+        def text_rules(x: Column) -> Column:
+            parts = [x.getField(corrupt).isNotNull().alias("malformed")]
+            for i, f in enumerate(fields):
+                value, why = field_rule(f, x.getField(f.name))
+                parts += [value.alias(f"v{i}"), why.alias(f"r{i}")]
+            return F.struct(*parts)
+
+        text = F.from_json(F.col("__msg"), raw_schema(fields, corrupt), JSON_OPTIONS)
+        self._fallback = F.when(misfit, F.transform(F.array(text), text_rules).getItem(0)).alias("__s")
         s = F.col("__s")
         typed, reasons = [], []
-        for f in fields:
+        for i, f in enumerate(fields):
             fast_value, fast_reason = typed_rule(f, t.getField(f.name))
-            slow_value, slow_reason = field_rule(f, s.getField(f.name))
-            typed.append(F.when(misfit, slow_value).otherwise(fast_value).alias(f.name))
-            reasons.append(F.when(misfit, slow_reason).otherwise(fast_reason))
+            typed.append(F.when(misfit, s.getField(f"v{i}")).otherwise(fast_value).alias(f.name))
+            reasons.append(F.when(misfit, s.getField(f"r{i}")).otherwise(fast_reason))
         m = F.col("__msg")
         reason = F.coalesce(
             F.when(m.isNull() | (F.trim(m) == ""), F.lit("empty")),
-            F.when(misfit & s.getField(corrupt).isNotNull(), F.lit("malformed")),
+            F.when(misfit & s.getField("malformed"), F.lit("malformed")),
             *reasons,
         )
         # The reason is computed once in a projection; then typed values and
@@ -251,14 +265,18 @@ class Decoder:
         # once per reference.
         self._names = [qcol(f.name) for f in fields]
         if on_bad_record == "fail":
-            # the error text is built for bad rows only, so the message itself
-            # does not travel past the generator
+            # The error is raised inside the generator, which runs for every
+            # message whatever filters the SQL adds above it (Catalyst may order
+            # an inferred IS NOT NULL of a user filter before a guard filter).
+            # Its text is built for bad rows only, so the message itself does not
+            # travel past the generator.
             error = F.when(reason.isNotNull(), F.concat(
                 F.lit("bad record ("), reason, F.lit("): "), F.coalesce(m, F.lit("NULL"))))
             self._stage = [F.col("__t"), s, error.alias("__r")]
-            self._generate = F.inline(F.array(F.struct(F.col("__r").alias("__reason"), *typed)))
-            e = F.col("__reason")
-            self._guard = F.when(e.isNull(), F.lit(True)).otherwise(F.raise_error(e))
+            e = F.col("__r")
+            ok = F.when(e.isNull(), F.lit(True)).otherwise(F.raise_error(e))
+            self._generate = F.inline(F.array(F.struct(ok.alias("__ok"), *typed)))
+            self._guard = F.col("__ok")
         else:
             r0 = F.col("__r")
             self._stage = [m, F.col("__t"), s, reason.alias("__r")]

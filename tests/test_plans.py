@@ -19,7 +19,7 @@ def test_flagship_plan(spark):
     plan = _plan(out.values)
     # one typed parse per message; the text parse only under CASE WHEN the typed one misfit
     assert len(re.findall(r"from_json\(", plan)) == 2
-    assert re.search(r"CASE WHEN isnotnull\(__t#\d+\._corrupt_record\) THEN from_json\(", plan)
+    assert re.search(r"CASE WHEN isnotnull\(__t#\d+\._corrupt_record\) THEN transform\(array\(from_json\(", plan)
     assert "ExistingRDD" not in plan and "Python" not in plan  # no .rdd step, no Python worker
     # the only exchange is the round-robin spread of the one-row-group table over the task slots
     exchanges = re.findall(r"Exchange (\w+)", plan)
@@ -50,11 +50,28 @@ def test_scan_is_pruned_and_filter_pushed(spark):
     assert read_schema == "user_id:bigint,event_type:string"
 
 
-def test_user_filter_runs_after_the_guard_in_one_stage(spark):
+def test_guard_runs_below_user_filters(spark):
     job = flagship_job()
     s = job.open(spark)
     job.run_batch(event_messages(s, SF))
     plan = _plan(s.sql("select event_type, count(*) from source where user_id > 5 group by event_type"))
     assert len(re.findall(r"from_json\(", plan)) == 2  # typed parse + conditional text parse
-    assert re.search(r"Filter \(CASE WHEN isnull\(__reason#\d+\) THEN true ELSE .* AND \(user_id#\d+L > 5\)\)", plan)
+    lines = plan.split("\n")
+    gen = next(i for i, line in enumerate(lines) if "Generate inline(array(struct(__ok" in line)
+    assert "raise_error" in lines[gen]  # the guard is evaluated by the generator itself
+    user = next(i for i, line in enumerate(lines) if "user_id" in line and "> 5" in line and "Filter" in line)
+    assert user < gen  # the user's filter stays above the generator
     assert "partial_count" in plan  # map-side partial aggregate before the shuffle
+
+
+def test_bad_record_raises_even_when_user_filter_excludes_it(spark):
+    import pytest
+
+    from relaysql import JobSpec, SqlJob
+
+    job = SqlJob(JobSpec(input_schema='{"name":"string","age":"int"}', output_schema='{"name":"string"}',
+                         sql="select name from source where name = 'x'"))
+    s = job.open(spark)
+    out = job.run_batch(s.createDataFrame([('{"name":"x","age":1}',), ('{"age":2}',)], "value string"))
+    with pytest.raises(Exception, match="missing:name"):
+        out.values.collect()
