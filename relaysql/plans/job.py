@@ -49,7 +49,8 @@ class SqlJob:
 
         ``rebalance``: decoding is CPU-bound, so when a batch arrives in fewer
         partitions than the cluster has task slots (few topic partitions, one
-        large file), it is spread round-robin over all slots first (or over
+        large file), it is spread round-robin first - over up to
+        ``SPREAD_FACTOR`` times its partitions, capped by the slots (or over
         ``rebalance`` partitions when an int is given). A batch that already has
         enough partitions - the normal case at scale, and always for a topic read
         with ``minPartitions`` - is left as it is, with no shuffle."""
@@ -91,11 +92,23 @@ class SqlJob:
         return BatchResult(decoded.rows, result, shaped, encode_json(shaped), decoded.rejected, decoded.checked)
 
 
+# At most this many partitions are made from each input partition: enough to
+# use a small machine's cores for a single-file input, without turning a small
+# micro-batch into thousands of empty tasks on a large cluster.
+SPREAD_FACTOR = 8
+
+
 def spread(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``target`` partitions (default: all task slots)
-    if it has fewer; otherwise leave it alone."""
-    target = target or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    """Round-robin ``df`` over more partitions when it has few.
+
+    The target is ``target`` if given, else ``min(task slots, SPREAD_FACTOR x
+    input partitions)``; an input already at or above it is left alone (no
+    shuffle). Only the partition count is read from the plan; nothing runs.
+    """
+    n = df.rdd.getNumPartitions()
+    if target is None:
+        target = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_FACTOR * max(n, 1))
+    if n < target:
         return df.repartition(target)
     return df
 

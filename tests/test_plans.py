@@ -75,3 +75,14 @@ def test_bad_record_raises_even_when_user_filter_excludes_it(spark):
     out = job.run_batch(s.createDataFrame([('{"name":"x","age":1}',), ('{"age":2}',)], "value string"))
     with pytest.raises(Exception, match="missing:name"):
         out.values.collect()
+
+
+def test_spread_is_bounded(spark):
+    from relaysql.plans.job import SPREAD_FACTOR, spread
+
+    slots = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == min(slots, SPREAD_FACTOR)
+    many = spark.range(100).repartition(slots)
+    assert spread(many) is many  # already parallel: untouched, no shuffle
+    assert spread(one, target=3).rdd.getNumPartitions() == 3
