@@ -109,3 +109,21 @@ def test_missing_kafka_connector_on_write(spark):
 
     with pytest.raises(ConnectorMissing):
         kafka_sink("localhost:1", "out").write(spark.createDataFrame([("x",)], "value string"))
+
+
+def test_cli_quarantine_and_wrong_arity(spark, tmp_path):
+    import pytest
+
+    from relaysql.__main__ import main
+    from relaysql.spec import JobSpecError
+
+    topic, out, bad = (shared_path(spark, "cliq", n) for n in ("in", "out", "bad"))
+    _publish(spark, topic, ['{"name":"a","age":1}', '{"age":2}'])
+    args = ["local[2]", "5", "cli-q", topic, out, "in", "out", "g1", '{"name":"string","age":"int"}',
+            '{"name":"string"}', "", "select name from source"]
+    assert main(args + ["--transport", "text", "--available-now", "--quarantine", bad,
+                        "--checkpoint", str(tmp_path / "ckpt")]) == 0
+    assert _read(spark, out) == [{"name": "a"}]
+    assert [d["reason"] for d in _read(spark, bad)] == ["missing:name"]
+    with pytest.raises(JobSpecError):
+        main(args[:-1] + ["--transport", "text"])
