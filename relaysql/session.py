@@ -8,8 +8,8 @@ session keep both inside ``foreachBatch``.
 
 Anything a job writes outside the sink (stream checkpoints, staged files) goes
 under ``spark.checkpoint.dir``, the shared folder the cluster names. It is read
-from the session; only when it is unset (local runs and tests) is a folder of
-our own created and set.
+from the session; only when it is unset in local mode (local runs and tests) is
+a folder of our own created and set - on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -47,18 +47,27 @@ def _conf(spark: SparkSession, key: str) -> str | None:
     return value or None
 
 
+class CheckpointDirMissing(RuntimeError):
+    """No shared checkpoint folder is configured on a cluster."""
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` when set, else the context's checkpoint folder;
-    only when neither is set (local runs, tests) is a local folder created and
-    made the context's checkpoint folder, so later calls find the same one.
+    ``spark.checkpoint.dir`` when set, else the context's checkpoint folder.
+    Only in local mode (tests, a laptop) is a local folder created when neither
+    is set; on a cluster that is an error, because executors and a restarted
+    driver must all see the folder.
     """
-    root = _conf(spark, CHECKPOINT_CONF) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = _conf(spark, CHECKPOINT_CONF) or sc.getCheckpointDir()
     if root:
         return root
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="relaysql-checkpoint-"))
-    return spark.sparkContext.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise CheckpointDirMissing(
+            f"set {CHECKPOINT_CONF} to a folder every node can reach (HDFS, object store)")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="relaysql-checkpoint-"))
+    return sc.getCheckpointDir()
 
 
 def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
