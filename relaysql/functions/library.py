@@ -44,9 +44,9 @@ def suffix(text: str) -> SqlFunction:
     return SqlFunction((("t1", "STRING"),), "STRING", f"concat({jvm_text('t1')}, '{text}')")
 
 
-# the common function every job registers as MyUDF.
+# The suffixes of the common function (F1, registered as MyUDF)
+# and of the sample configured function.
 suffix_test = suffix("_Test")
-# the sample configured function.
 suffix_new = suffix("_new")
 
 # Two- and three-argument functions, joined with "_".

@@ -23,7 +23,8 @@ from relaysql.session import job_session
 from relaysql.spec import JobSpec
 
 SOURCE_VIEW = "source"
-# the function every job gets, whatever its config says.
+# Fixed value: the SQL name of the function every job gets, whatever its config
+# says (F1).
 COMMON_FUNCTION = "MyUDF"
 PREVIEW_ROWS = 20
 
