@@ -86,3 +86,31 @@ def test_spread_is_bounded(spark):
     many = spark.range(100).repartition(slots)
     assert spread(many) is many  # already parallel: untouched, no shuffle
     assert spread(one, target=3).rdd.getNumPartitions() == 3
+
+
+def _query_plan(spark, name):
+    import __spark_entry__ as entry
+
+    df = entry.queries()[name](spark, SF)
+    df.write.format("noop").mode("overwrite").save()  # final adaptive plan
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_topk_is_per_partition_then_merge(spark):
+    plan = _query_plan(spark, "sql_topk")
+    assert "TakeOrderedAndProject" in plan and "Sort [" not in plan
+
+
+def test_bounded_inline_tables_are_broadcast(spark):
+    assert "BroadcastHashJoin" in _query_plan(spark, "sql_join_values")
+    assert "BroadcastNestedLoopJoin" in _query_plan(spark, "sql_join_range")
+
+
+def test_semi_and_anti_joins(spark):
+    plan = _query_plan(spark, "sql_join_semi_anti")
+    assert "LeftSemi" in plan and "LeftAnti" in plan
+
+
+def test_aggregates_are_partial_before_the_shuffle(spark):
+    plan = _query_plan(spark, "sql_group_having")
+    assert "partial_count" in plan and "partial_sum" in plan
