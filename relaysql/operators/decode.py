@@ -212,10 +212,12 @@ class Decoder:
     the messages (topic metadata and so on) are not carried.
 
     Two parses, the second only when needed: every message is parsed once with
-    the declared types, which is the cheap path for well-typed JSON. A message
-    that does not fit (a number sent as text, ``21.9`` for an int, ``true`` for
-    a number, malformed text) is marked by the parser; only those messages are
-    parsed again as text and go through the coercion rules.
+    the declared types (integral ones read as DECIMAL(38,6), so ``21.9`` or
+    ``"1,234"`` for an int already fit), which is the cheap path. A message that
+    does not fit (a number sent as text for a double, ``true`` for a number,
+    ``"Y"`` for a boolean, text with spaces, malformed text) is marked by the
+    parser; only those messages are parsed again as text and go through the
+    coercion rules.
 
     The column expressions are built once here and reused for every batch, so a
     micro-batch costs the driver only a few plan calls.
