@@ -247,18 +247,31 @@ class Decoder:
             return F.struct(*parts)
 
         text = F.from_json(F.col("__msg"), raw_schema(fields, corrupt), JSON_OPTIONS)
-        self._fallback = F.when(misfit, F.transform(F.array(text), text_rules).getItem(0)).alias("__s")
-        s = F.col("__s")
-        typed, reasons = [], []
+        # The typed-path values and reason are computed in the same projection
+        # as the text parse. That projection is not whole-stage generated (the
+        # parse is not), and there Spark splits expression code into small
+        # methods; the generated stage above only picks between ready values,
+        # so its code does not grow with the number of fields.
+        fast_values, fast_reasons = [], []
         for i, f in enumerate(fields):
-            fast_value, fast_reason = typed_rule(f, t.getField(f.name))
-            typed.append(F.when(misfit, s.getField(f"v{i}")).otherwise(fast_value).alias(f.name))
-            reasons.append(F.when(misfit, s.getField(f"r{i}")).otherwise(fast_reason))
+            value, why = typed_rule(f, t.getField(f.name))
+            fast_values.append(value.alias(f"__f{i}"))
+            fast_reasons.append(why)
+        self._fallback = [
+            F.when(misfit, F.transform(F.array(text), text_rules).getItem(0)).alias("__s"),
+            *fast_values,
+            F.coalesce(*fast_reasons).alias("__fr"),
+        ]
+        self._fast_cols = [F.col(f"__f{i}") for i in range(len(fields))]
+        s = F.col("__s")
+        typed = [F.when(misfit, s.getField(f"v{i}")).otherwise(F.col(f"__f{i}")).alias(f.name)
+                 for i, f in enumerate(fields)]
         m = F.col("__msg")
         reason = F.coalesce(
             F.when(m.isNull() | (F.trim(m) == ""), F.lit("empty")),
             F.when(misfit & s.getField("malformed"), F.lit("malformed")),
-            *reasons,
+            F.when(misfit, F.coalesce(*[s.getField(f"r{i}") for i in range(len(fields))]))
+            .otherwise(F.col("__fr")),
         )
         # The reason is computed once in a projection; then typed values and
         # reason come out of a one-row generator. Filters on generator outputs
@@ -274,21 +287,21 @@ class Decoder:
             # travel past the generator.
             error = F.when(reason.isNotNull(), F.concat(
                 F.lit("bad record ("), reason, F.lit("): "), F.coalesce(m, F.lit("NULL"))))
-            self._stage = [F.col("__t"), s, error.alias("__r")]
+            self._stage = [F.col("__t"), s, *self._fast_cols, error.alias("__r")]
             e = F.col("__r")
             ok = F.when(e.isNull(), F.lit(True)).otherwise(F.raise_error(e))
             self._generate = F.inline(F.array(F.struct(ok.alias("__ok"), *typed)))
             self._guard = F.col("__ok")
         else:
             r0 = F.col("__r")
-            self._stage = [m, F.col("__t"), s, reason.alias("__r")]
+            self._stage = [m, F.col("__t"), s, *self._fast_cols, reason.alias("__r")]
             self._generate = F.inline(F.array(F.struct(
                 F.when(r0.isNotNull(), m).alias("__msg"), r0.alias("__reason"), *typed)))
 
     def __call__(self, messages: DataFrame, value_col: str = "value") -> Decoded:
         msg = F.col(value_col).cast("string")
         first = messages.select(msg.alias("__msg"), F.from_json(msg, self._typed_schema, JSON_OPTIONS).alias("__t"))
-        parsed = first.select(F.col("__msg"), F.col("__t"), self._fallback)
+        parsed = first.select(F.col("__msg"), F.col("__t"), *self._fallback)
         checked = parsed.select(*self._stage).select(self._generate)
         if self.on_bad_record == "fail":
             return Decoded(checked.where(self._guard).select(*self._names), None, checked)

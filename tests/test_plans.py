@@ -114,3 +114,24 @@ def test_semi_and_anti_joins(spark):
 def test_aggregates_are_partial_before_the_shuffle(spark):
     plan = _query_plan(spark, "sql_group_having")
     assert "partial_count" in plan and "partial_sum" in plan
+
+
+def test_wide_decode_stays_jit_sized(spark):
+    """Every generated method of a 20-field decode stays under HotSpot's 8000-byte
+    limit for JIT compilation (larger methods run interpreted)."""
+    import json
+
+    from relaysql.operators.decode import decode
+    from relaysql.operators.schema import parse_schema_spec
+
+    kinds = ["long", "int", "double", "boolean", "string"] * 4
+    fields = parse_schema_spec(json.dumps({f"f{i}": k for i, k in enumerate(kinds)}))
+    df = spark.createDataFrame([(json.dumps({f"f{i}": 1 for i in range(20)}),)], "value string")
+    for policy in ("fail", "quarantine"):
+        out = decode(df, fields, policy).rows
+        stages = out._jdf.queryExecution().debug().codegenToSeq()
+        it = stages.iterator()
+        sizes = []
+        while it.hasNext():
+            sizes.append(it.next()._3().maxMethodCodeSize())
+        assert sizes and max(sizes) < 8000, (policy, sizes)
