@@ -65,8 +65,9 @@ _DECIMAL_HOP = T.DecimalType(38, 6)
 class Decoded:
     """Result of :func:`decode`: the typed rows and, under quarantine, the rejects.
 
-    ``checked`` is the stage both come from (message, reason, typed fields);
-    persisting it makes the rows and the rejects share one parse.
+    ``checked`` is the stage both come from (the typed fields plus, under
+    quarantine, the message and reason of bad rows); persisting it makes the
+    rows and the rejects share one parse.
     """
 
     rows: DataFrame
@@ -226,6 +227,9 @@ class Decoder:
     def __init__(self, fields: tuple[Field, ...], on_bad_record: str = "fail"):
         if on_bad_record not in BAD_RECORD_POLICIES:
             raise ValueError(f"on_bad_record must be one of {BAD_RECORD_POLICIES}, got {on_bad_record!r}")
+        reserved = [f.name for f in fields if f.name.startswith("__")]
+        if reserved:
+            raise ValueError(f"field names starting with '__' are reserved for the decoder: {reserved}")
         self.fields = fields
         self.on_bad_record = on_bad_record
         corrupt = _corrupt_name(fields)

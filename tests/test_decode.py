@@ -105,3 +105,8 @@ def test_undeclared_keys_and_other_columns_are_dropped(spark):
     df = spark.createDataFrame([("k", '{"name":"a","age":1,"extra":2}', 7)], "key string, value string, offset int")
     out = decode(df, SCHEMA_A, "fail")
     assert out.rows.columns == ["name", "age"]
+
+
+def test_reserved_field_names(spark, messages):
+    with pytest.raises(ValueError, match="reserved"):
+        decode(messages(spark, ["{}"]), parse_schema_spec('{"__ok":"int"}'))
