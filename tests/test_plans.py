@@ -135,3 +135,13 @@ def test_wide_decode_stays_jit_sized(spark):
         while it.hasNext():
             sizes.append(it.next()._3().maxMethodCodeSize())
         assert sizes and max(sizes) < 8000, (policy, sizes)
+
+
+def test_reference_views_are_broadcast_by_size(spark):
+    plan = _query_plan(spark, "lookup_view_join")
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
+def test_constant_lookup_is_a_subquery_not_a_join(spark):
+    plan = _query_plan(spark, "lookup_const_plus")
+    assert "Subquery" in plan and "Join" not in plan.split("Subquery")[0]
