@@ -306,9 +306,11 @@ def encode_primitives(spark, sf_dir):
                      "value > 50 as big from source",
                      {"event_id": "long", "event_type": "string", "uid": "int", "value": "double",
                       "vf": "float", "big": "boolean"})
-    return out.values.select(_get("event_id", "bigint"), _get("event_type"), _get("uid", "int"),
-                             _get("value", "double"), _get("vf", "float").cast("double").alias("vf"),
-                             _get("big", "boolean"))
+    # one parse of each encoded message; the float is re-read from its text
+    r = F.from_json("value", "event_id BIGINT, event_type STRING, uid INT, value DOUBLE, vf STRING, "
+                             "big BOOLEAN").alias("r")
+    return out.values.select(r).select("r.event_id", "r.event_type", "r.uid", "r.value",
+                                       F.col("r.vf").cast("float").cast("double").alias("vf"), "r.big")
 
 
 @register("encode_arrays",
@@ -345,9 +347,9 @@ def encode_nulls(spark, sf_dir):
                      "case when event_type = 'view' then null else value end as v, "
                      "case when event_type = 'purchase' then null else value > 50 end as b from source",
                      {"event_id": "long", "t": "string", "u": "int", "v": "double", "b": "boolean"})
-    return out.values.select(_get("event_id", "bigint"), _get("t"),
-                             (F.instr("value", '"t":') > 0).alias("has_t"),
-                             _get("u", "int"), _get("v", "double"), _get("b", "boolean"))
+    r = F.from_json("value", "event_id BIGINT, t STRING, u INT, v DOUBLE, b BOOLEAN").alias("r")
+    return out.values.select(r, (F.instr("value", '"t":') > 0).alias("has_t")).select(
+        "r.event_id", "r.t", "has_t", "r.u", "r.v", "r.b")
 
 
 # --- functions (F1-F6) -----------------------------------------------------------------
