@@ -23,10 +23,12 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _norm(v):
+    # floats are compared exactly: results are built to be bit-identical across
+    # engines (sums rounded to cents, averages over integers, no reordering)
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.10g}")
+        return v
     if hasattr(v, "tolist"):
         return tuple(v.tolist())
     if isinstance(v, list):
