@@ -86,23 +86,21 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``relaysql`` importable by Python workers (as ``--py-files`` would).
 
     Python functions registered by a job are pickled by reference, so executors
-    must import this package. It is zipped once per Spark application into the
-    shared folder and added with ``addPyFile``. User modules named in a function
-    config must be deployed the same way by the user.
+    must import this package. It is zipped once per Spark application on the
+    driver and added with ``addPyFile``, which serves it to the executors
+    whatever kind of folder the checkpoints go to. User modules named in a
+    function config must be deployed by the user in the same way.
     """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    target = shared_path(spark, "pyfiles", unique=True)
-    if "://" not in target:
-        os.makedirs(target, exist_ok=True)
-        archive = os.path.join(target, "relaysql.zip")
-        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
-            for root, _, files in os.walk(pkg_dir):
-                for name in files:
-                    if name.endswith(".py"):
-                        full = os.path.join(root, name)
-                        z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-        sc.addPyFile(archive)
+    archive = os.path.join(tempfile.mkdtemp(prefix="relaysql-package-"), "relaysql.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(archive)
     _SHIPPED.add(sc.applicationId)
