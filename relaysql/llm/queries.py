@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from relaysql.llm import url_filter, warc_archive
+from relaysql.llm import quality_rules, secret_scan, url_filter, warc_archive
 
 QUERIES = {
+    "op4_quality_rules": quality_rules.op4_quality_rules,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_warc_archive": warc_archive.op9_warc_archive,
+    "op10_secret_scan": secret_scan.op10_secret_scan,
 }
 
 ORACLES = {
