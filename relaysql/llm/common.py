@@ -55,3 +55,34 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xC4CEB9FE1A85EC53)
     x ^= x >> np.uint64(33)
     return x
+
+
+def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Maximal runs of bytes for which the 256-entry table ``inside`` holds, text by
+    text; and the number of words before each text (one more entry than texts)."""
+    keep = inside[data]
+    begins = keep.copy()
+    if len(data):
+        begins[1:] &= ~keep[:-1]
+        first = offsets[:-1][offsets[:-1] < len(data)]
+        begins[first] = keep[first]                # a word never crosses texts
+    starts = np.flatnonzero(begins)
+    before = np.concatenate([[0], np.cumsum(keep)])
+    ends = np.concatenate([before[starts], before[-1:]]).astype(np.int32)
+    found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data[keep])])
+    return found, np.searchsorted(starts, offsets)
+
+
+LOWER = np.arange(256, dtype=np.uint8)      # A-Z to a-z, everything else as it is
+LOWER[65:91] += 32
+
+
+def bounded_blocks(df: DataFrame, size: str, key: str, limit: int):
+    """The rows of ``df`` as lists of at most about ``limit`` units of the SQL
+    expression ``size``: measured first, then dealt by the hash of ``key``. Used for
+    query sets and rule lists, which are searched block by block."""
+    total = df.selectExpr(f"sum({size}) AS n").first()["n"] or 0
+    n = int(2 * total // limit) + 1
+    for k in range(n):
+        part = df if n == 1 else df.where(f"pmod(xxhash64({key}), {n}) = {k}")
+        yield list(part.toLocalIterator())

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from relaysql.llm import quality_rules, secret_scan, url_filter, warc_archive
+from relaysql.llm import decontaminate, quality_rules, secret_scan, token_files, url_filter, warc_archive
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_token_files": token_files.op2_token_files,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_warc_archive": warc_archive.op9_warc_archive,
@@ -12,6 +14,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_decontaminate": decontaminate.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
     "op9_warc_archive": warc_archive.ORACLE,
 }

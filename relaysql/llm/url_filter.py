@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaysql.llm.common import table
+from relaysql.llm.common import bounded_blocks, table
 from relaysql.session import ship_package
 
 BLOCK_BYTES = 32 << 20
@@ -96,16 +96,6 @@ class MappedArray:
         return out
 
 
-def _blocks(entries: DataFrame, limit: int):
-    """The entries as digest arrays of bounded size."""
-    size = entries.agg(F.sum(F.octet_length("entry") + 32).alias("n")).first()["n"] or 0
-    n = int(size // limit) + 1
-    for k in range(n):
-        part = entries if n == 1 else entries.where(F.pmod(F.xxhash64("entry"), F.lit(n)) == k)
-        rows = [(r["entry"], r["kind"]) for r in part.toLocalIterator()]
-        yield DigestArray(rows)
-
-
 def judge_urls(pages: DataFrame, rules: DataFrame, blocked_hosts: DataFrame, id_col: str = "page_id",
                url_col: str = "url", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``rules``: rule, verdict; ``blocked_hosts``: host. Returns page_id, host, path,
@@ -131,7 +121,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, blocked_hosts: DataFrame, id_
         "page_id", F.translate("raw_host", *az).alias("host"),
         F.regexp_extract(F.expr("substr(rest, length(raw_host) + 1)"), r"^[^?#]*", 0).alias("path"),
         F.lit(None).cast("string").alias("rule"), F.lit(-1).alias("kind"))
-    for array in _blocks(entries, block_bytes):
+    for block in bounded_blocks(entries, "octet_length(entry) + 32", "entry", block_bytes):
+        array = DigestArray([(r["entry"], r["kind"]) for r in block])
         df = df.mapInArrow(_prober(spark.sparkContext.broadcast((array.image, array.n)), cuts),
                            "page_id bigint, host string, path string, rule string, kind int")
     return df.select("page_id", "host", "path", "rule",
