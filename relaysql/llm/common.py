@@ -86,3 +86,36 @@ def bounded_blocks(df: DataFrame, size: str, key: str, limit: int):
     for k in range(n):
         part = df if n == 1 else df.where(f"pmod(xxhash64({key}), {n}) = {k}")
         yield list(part.toLocalIterator())
+
+
+_BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_HASH_BYTES = 4 << 20
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    if n:
+        out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_hashes(found: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each entry of a binary array: a polynomial over mixed bytes,
+    from running sums, in portions of bounded size."""
+    data, offsets = flat_bytes(found)
+    code = mix64(np.arange(1, 257, dtype=np.uint64))
+    out = np.empty(len(offsets) - 1, np.uint64)
+    a, n = 0, len(out)
+    up = down = np.zeros(0, np.uint64)
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + _HASH_BYTES, side="right")) - 1)
+        b = min(b, n)
+        at = offsets[a:b + 1] - offsets[a]
+        size = int(at[-1])
+        if len(up) < size + 1:
+            up, down = _powers(_BASE, size + 1), _powers(_INVERSE, size + 1)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code[data[offsets[a]:offsets[b]]] * up[:size])])
+        out[a:b] = (sums[at[1:]] - sums[at[:-1]]) * down[at[:-1]]
+        a = b
+    return mix64(out)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from relaysql.llm import decontaminate, quality_rules, secret_scan, token_files, url_filter, warc_archive
+from relaysql.llm import decontaminate, ngram_join, quality_rules, secret_scan, token_files, url_filter, warc_archive
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op2_token_files": token_files.op2_token_files,
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op7_ngram_join": ngram_join.op7_ngram_join,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_warc_archive": warc_archive.op9_warc_archive,
     "op10_secret_scan": secret_scan.op10_secret_scan,
