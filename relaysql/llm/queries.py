@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from relaysql.llm import decontaminate, ngram_join, quality_rules, secret_scan, token_files, url_filter, warc_archive
+from relaysql.llm import decontaminate, ngram_join, quality_rules, secret_scan, suffix_dedup, token_files, url_filter, warc_archive
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op2_token_files": token_files.op2_token_files,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op7_ngram_join": ngram_join.op7_ngram_join,
     "op8_url_filter": url_filter.op8_url_filter,
