@@ -117,7 +117,10 @@ def text_stats(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
     covered = F.aggregate(
         F.transform(at, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1) - x, F.lit(3)))),
         F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    df = df.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", covered.alias("n_repeat_words"))
+    # through a generator: filters that users put on the counts stay above them, and do
+    # not carry copies of these expressions down to the scan
+    counts = F.struct("n_words", "word_chars", "n_symbols", "n_dup_lines", covered.alias("n_repeat_words"))
+    df = df.select(*keep, F.inline(F.array(counts)))
     return df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 

@@ -1,0 +1,109 @@
+"""Operator 6: links, order, validation and canonical JSON against plain Python; edge cases."""
+
+import json
+import random
+
+from relaysql.llm import tool_calls as t
+
+SCHEMA = "conv_id bigint, turn bigint, role string, content string, tool_calls string, tool_call_id string, name string, level int"
+
+
+def call(id_, name="search", args='{"text": "q", "limit": 1}', deps=()):
+    return {"id": id_, "function": {"name": name, "arguments": args}, "depends_on": list(deps)}
+
+
+def run(spark, rows):
+    full = [(c, turn, "x", content, None if calls is None else calls if isinstance(calls, str) else json.dumps(calls), rid, "clash", 1)
+            for c, turn, content, calls, rid in rows]
+    tools = spark.createDataFrame(t.TOOLS, "name string, param string, type string, required boolean")
+    return t.link_tool_calls(spark.createDataFrame(full, SCHEMA), tools).collect()
+
+
+def test_links_and_edge_cases(spark):
+    rows = [(1, 0, None, [call("a"), call("b"), call(None), call("", "search"), call("n", None)], None), (1, 1, "ra", None, "a"),
+            (1, 2, "late", None, "a"), (1, 3, "who", None, "zz"), (1, 4, None, [call("a", "translate")], None),
+            (2, 0, None, [call("a")], None), (2, 1, None, None, "a"), (3, 0, None, "not json", None), (4, 0, "x", None, None),
+            (None, 0, None, [call("a")], None), (None, 1, "null conv", None, "a"), (5, 0, None, "[]", None)]
+    got = {(r.conv_id, r.call_id, r.turn, r.idx): r for r in run(spark, rows)}
+    s = {k: (r.status, r.result, r.n_results) for k, r in got.items()}
+    assert s[(1, "a", 0, 0)] == ("linked", "ra", 2) and s[(1, "b", 0, 1)] == ("unanswered", None, 0)
+    assert s[(1, None, 0, 2)][0] == s[(1, "", 0, 3)][0] == s[(1, "n", 0, 4)][0] == "malformed"
+    assert s[(1, "a", 4, 0)] == ("duplicate", None, 0) and s[(1, "zz", None, None)] == ("orphan", "who", 1)
+    assert s[(2, "a", 0, 0)] == ("linked", None, 1) and s[(None, "a", 0, 0)] == ("linked", "null conv", 1)
+    assert len(got) == 9
+    assert run(spark, []) == []
+
+
+def test_validation_and_canonical_json(spark):
+    cases = [
+        ('{"text": "q", "limit": 1}', []), ('{"limit": 1.5, "text": "q"}', ["wrong type of limit"]),
+        ('{"text": 3, "limit": "x", "more": null}', ["unknown parameter more", "wrong type of limit", "wrong type of text"]),
+        ("{}", ["missing parameter limit", "missing parameter text"]), ("[1]", ["arguments are not an object"]),
+        ("nope", ["arguments are not an object"]), (None, ["arguments are not an object"]), ('{"text":"a","text":"b","limit":1}', ["arguments are not an object"]),
+        ('{"z": 1}', ["missing parameter limit", "missing parameter text", "unknown parameter z"]),
+        ('{"text": "é\\n\\"\\u00e9\\\\", "options": {"b": [1, true, null], "a": {}}, "limit": 7}', [])]
+    rows = [(i, 0, None, [call("c", args=a)], None) for i, (a, _) in enumerate(cases)] + [(i, 1, 'say "hi"\n', None, "c") for i in range(len(cases))]
+    rows.append((100, 0, None, [call("c", "unheard", "{}")], None))
+    rows.append((101, 0, None, [call("c", "summarize", '{"text":"a","limit":1,"options":{}}'), call("d", "summarize", '{"text":"a","limit":1.5,"options":{}}')], None))
+    got = {(r.conv_id, r.call_id): r for r in run(spark, rows)}
+    for i, (a, errors) in enumerate(cases):
+        r = got[(i, "c")]
+        assert (r.errors, r.valid) == (errors, not errors), a
+        bad = "arguments are not an object" in errors
+        want = {"arguments": None if bad else json.loads(a), "id": "c", "name": "search", "result": 'say "hi"\n'}
+        assert r.record == json.dumps(want, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    assert got[(100, "c")].errors == ["unknown tool"] and got[(101, "c")].valid and got[(101, "d")].valid
+
+
+def test_topological_order(spark):
+    r = random.Random(6)
+    rows, deps, cyclic = [], {}, set()
+    for conv in range(40):
+        n = r.randint(1, 12)
+        edges = {i: set() for i in range(n)}
+        order = list(range(n))
+        if conv % 2:
+            r.shuffle(order)                                     # half of them have calls that come before what they need
+        rank = {x: i for i, x in enumerate(order)}
+        for _ in range(r.randint(0, 14)):
+            a, b = r.randrange(n), r.randrange(n)
+            if rank[a] > rank[b]:
+                edges[a].add(b)
+        if conv % 10 == 9 and n > 2:
+            edges[0].add(1)
+            edges[1].add(0)
+        left = dict(edges)                                       # Kahn: what cannot be taken is in or behind a cycle
+        while free := [x for x in left if not any(d in left for d in left[x])]:
+            for x in free:
+                del left[x]
+        cyclic |= {(conv, f"c{x}") for x in left}
+        for i in range(n):
+            rows.append((conv, i // 3, None, [call(f"c{i}", deps=[f"c{d}" for d in edges[i]] + (["gone"] if i == 3 else []))], None))
+            deps[(conv, f"c{i}")] = {(conv, f"c{d}") for d in edges[i]}
+    # calls of one turn in one message
+    together = {}
+    for c, turn, _, calls, _ in rows:
+        together.setdefault((c, turn), []).extend(calls)
+    got = {(x.conv_id, x.call_id): x for x in run(spark, [(c, turn, None, calls, None) for (c, turn), calls in together.items()])}
+    assert {k for k, x in got.items() if x.status == "cycle"} == cyclic and cyclic
+    place = {k: (x.level, x.turn, x.idx) for k, x in got.items() if k not in cyclic}
+    for k, needed in deps.items():
+        if k not in cyclic:
+            assert all(place[d] < place[k] for d in needed)
+        assert ("unknown dependency gone" in got[k].errors) == (k[1] == "c3")
+    untangled = [x for x in got.values() if x.conv_id % 2 == 0]
+    assert all(x.level == 0 for x in untangled)
+
+
+def test_one_very_long_conversation(spark):
+    rows = [(1, 2 * i, None, [call(f"c{i}", deps=[f"c{i - 1}"] if i else [])], None) for i in range(3000)] + [
+        (1, 2 * i + 1, f"r{i}", None, f"c{i}") for i in range(3000)]
+    got = run(spark, rows)
+    assert len(got) == 3000 and {r.level for r in got} == {0} and all(r.result == "r" + r.call_id[1:] for r in got)
+
+
+def test_main_path_is_native(spark):
+    tools = spark.createDataFrame(t.TOOLS, "name string, param string, type string, required boolean")
+    conversations = spark.createDataFrame([(1, 0, "user", "x"), (1, 1, "assistant", "y")], "conv_id bigint, turn bigint, role string, text string")
+    plan = t.link_tool_calls(t.messages_from_conversations(conversations), tools)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
