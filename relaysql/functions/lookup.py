@@ -8,8 +8,8 @@ the lookup is re-expressed three ways:
   column). The function is SQL-bodied with a scalar subquery, which Spark runs
   once per query and folds in as a constant; no join, no per-row work.
 * :func:`lookup_join` - the key comes from each row. A left join to the lookup
-  table, de-duplicated per key; broadcast only when the table's row count is
-  checked to be under a bound, otherwise a shuffle join (AQE may still switch).
+  table, reduced to one row per key and stored; Spark broadcasts it only when its
+  files are below the broadcast threshold, else AQE splits hot keys of the join.
 * :func:`service_lookup` - the store is a service reachable only through a
   client. An iterator pandas UDF keeps one client per Python worker and asks it
   once per distinct key of each Arrow batch.
@@ -20,21 +20,21 @@ concatenation would.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relaysql.functions.library import SqlFunction, jvm_text
+from relaysql.session import shared_path
 
 # Fixed value: the key the sample lookup functions read.
 DEFAULT_KEY = "k1"
 
-# Default bound on lookup rows that may be broadcast (about 1e6 short rows).
-MAX_BROADCAST_ROWS = 1_000_000
-
 
 def _sql_str(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -68,36 +68,30 @@ def const_lookup(view: str, key_col: str, value_col: str, key: str = DEFAULT_KEY
     return SqlFunction((("t1", "STRING"),), "STRING", body)
 
 
-def lookup_join(df: DataFrame, key: str, table: DataFrame, table_key: str, value_cols: list[str],
-                max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def lookup_join(df: DataFrame, key: str, table: DataFrame, table_key: str, value_cols: list[str]) -> DataFrame:
     """Left-join ``value_cols`` of ``table`` to ``df`` on ``df[key] == table[table_key]``.
 
-    The table is first reduced to one row per key (``max`` of each value, so the
-    join never multiplies rows). Hash-aggregating on the key also leaves it
-    partitioned on the key, which the shuffle join then reuses. The broadcast
-    hint is added only when the table's row count (an upper bound on its keys,
-    answered from file metadata for parquet) is at most ``max_broadcast_rows``;
-    beyond that the plan stays a shuffle join.
+    Of several rows with one key the greatest counts, compared column by column, so
+    values always come from one real row and the join never multiplies rows. The
+    reduced table is written to the shared folder: its size is then known when the
+    join is planned, and as both sides are plain scans, AQE can split a hot key.
     """
-    dedup = table.groupBy(F.col(table_key).alias("__lookup_key")).agg(
-        *[F.max(c).alias(c) for c in value_cols]
-    )
-    if table.count() <= max_broadcast_rows:
-        dedup = F.broadcast(dedup)
-    joined = df.join(dedup, df[key] == dedup["__lookup_key"], "left")
-    return joined.drop("__lookup_key")
+    values = F.struct(*[F.col(c) for c in value_cols])
+    reduced = table.where(F.col(table_key).isNotNull()).groupBy(F.col(table_key).alias("__lookup_key")).agg(F.max(values).alias("v"))
+    path = shared_path(df.sparkSession, "lookup")
+    reduced.select("__lookup_key", "v.*").write.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    return df.join(stored, df[key] == stored["__lookup_key"], "left").drop("__lookup_key")
 
 
 _CLIENTS: dict[str, object] = {}
 
 
-def _client(factory: Callable[[], object]):
-    """One client per Python worker process and factory (keyed by its import path,
-    which stays the same when the factory is unpickled again for a new task)."""
-    k = f"{getattr(factory, '__module__', '')}:{getattr(factory, '__qualname__', repr(factory))}"
-    if k not in _CLIENTS:
-        _CLIENTS[k] = factory()
-    return _CLIENTS[k]
+def _client(identity: str, factory: Callable[[], object]):
+    """One client per Python worker process and factory."""
+    if identity not in _CLIENTS:
+        _CLIENTS[identity] = factory()
+    return _CLIENTS[identity]
 
 
 def service_lookup(client_factory: Callable[[], object], key: str | None = DEFAULT_KEY,
@@ -111,6 +105,8 @@ def service_lookup(client_factory: Callable[[], object], key: str | None = DEFAU
     """
     if style not in ("plus", "pooled"):
         raise ValueError("style must be 'plus' or 'pooled'")
+    # what the factory pickles to tells factories apart, partials and closures too
+    identity = hashlib.sha256(cloudpickle.dumps(client_factory)).hexdigest()
 
     def fmt(t: pd.Series, v: pd.Series) -> pd.Series:
         t = t.astype(object).where(t.notna(), "null")
@@ -121,7 +117,7 @@ def service_lookup(client_factory: Callable[[], object], key: str | None = DEFAU
 
     @F.pandas_udf(T.StringType())
     def lookup(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        client = _client(client_factory)
+        client = _client(identity, client_factory)
         for t in batches:
             if key is not None:
                 v = pd.Series([client.get(key)] * len(t), index=t.index, dtype=object)
@@ -132,3 +128,8 @@ def service_lookup(client_factory: Callable[[], object], key: str | None = DEFAU
             yield fmt(t, v)
 
     return lookup
+
+
+# a function config may name these two with "options" for their arguments
+const_lookup.from_options = True  # type: ignore[attr-defined]
+service_lookup.from_options = True  # type: ignore[attr-defined]

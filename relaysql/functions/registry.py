@@ -12,18 +12,24 @@ A function config is a JSON array of objects::
   temporary function, inlined by Catalyst (no Python at run time);
 * a pandas UDF, or a callable flagged ``vectorized = True`` taking and returning
   ``pandas.Series`` -> registered as an Arrow-batched pandas UDF;
+* a function that makes one of these from the entry's ``"options"`` object, such as
+  ``relaysql.functions.lookup:const_lookup`` (it names the lookup's view, columns and
+  key, so a lookup is configured without code);
 * any other callable -> registered as an Arrow-optimised row function.
 
 Arity comes from ``param`` the way the configs were written: drop the
 parentheses, split on commas, trailing empty parts do not count, so ``"()"``
-counts as one argument. Only 1, 2 or 3 arguments are allowed. ``returnType``
-takes the schema type names (``string``, ``int``, ``long``, ...); anything else,
-including the default, means ``string``. A blank config registers nothing.
+counts as one argument. Only 1, 2 or 3 arguments are allowed, and the object must
+take as many. ``returnType`` takes the schema type names (``string``, ``int``,
+``long``, ...); anything else, including the default, means ``string``. A SQL
+function's result is cast to it; one that returns a struct keeps its own type. A
+blank config registers nothing.
 """
 
 from __future__ import annotations
 
 import importlib
+import inspect
 import json
 from dataclasses import dataclass
 
@@ -58,6 +64,7 @@ class FunctionSpec:
     target: str
     param: str = "(String)"
     return_type: str = "string"
+    options: dict | None = None
 
     @property
     def arity(self) -> int:
@@ -72,6 +79,8 @@ class FunctionSpec:
             raise FunctionConfigError("function entry needs a non-empty 'name'")
         if not self.target:
             raise FunctionConfigError(f"function {self.name!r} needs a 'mainClass'")
+        if self.options is not None and not isinstance(self.options, dict):
+            raise FunctionConfigError(f"function {self.name!r}: 'options' must be a JSON object")
         if not 1 <= self.arity <= MAX_ARITY:
             raise FunctionConfigError(
                 f"function {self.name!r}: param {self.param!r} gives {self.arity} arguments; 1 to {MAX_ARITY} allowed"
@@ -96,6 +105,7 @@ def parse_function_config(config: str | list | None) -> tuple[FunctionSpec, ...]
             target=e.get("mainClass"),
             param=e["param"],
             return_type=e.get("returnType") or "string",
+            options=e.get("options"),
         )
         spec.validate()
         specs.append(spec)
@@ -120,15 +130,21 @@ def resolve(target: str):
 
 
 def register_function(session: SparkSession, name: str, obj, arity: int | None = None,
-                      return_type: T.DataType = T.StringType()) -> None:
-    """Register one function object under ``name`` in ``session``."""
+                      return_type: T.DataType | None = None) -> None:
+    """Register one function object under ``name`` in ``session``. Without a
+    ``return_type`` a SQL function keeps its own and a Python one returns text."""
     if isinstance(obj, SqlFunction):
         if arity is not None and arity != obj.arity:
             raise FunctionConfigError(f"function {name!r} takes {obj.arity} arguments, config says {arity}")
+        if return_type is not None and not obj.returns.upper().startswith("STRUCT"):
+            obj = SqlFunction(obj.params, return_type.simpleString(), f"CAST({obj.body} AS {return_type.simpleString()})")
         session.sql(obj.create_statement(name))
         return
     if not callable(obj):
         raise FunctionConfigError(f"function {name!r}: {type(obj).__name__} is not callable")
+    if arity is not None:
+        _check_arity(name, obj, arity)
+    return_type = return_type or T.StringType()
     ship_package(session)
     if hasattr(obj, "evalType"):  # already a Spark UDF (pandas or Python)
         session.udf.register(name, obj)
@@ -138,6 +154,30 @@ def register_function(session: SparkSession, name: str, obj, arity: int | None =
         session.udf.register(name, F.udf(obj, return_type, useArrow=True))
 
 
+def _check_arity(name: str, obj, arity: int) -> None:
+    try:
+        signature = inspect.signature(getattr(obj, "func", obj))
+    except (TypeError, ValueError):      # some built-in callables have none
+        return
+    try:
+        signature.bind(*[None] * arity)
+    except TypeError as e:
+        raise FunctionConfigError(f"function {name!r} cannot be called with {arity} arguments: {e}") from e
+
+
+def build(spec: FunctionSpec):
+    """The object a config entry names; made from its options when it has some."""
+    obj = resolve(spec.target)
+    if getattr(obj, "from_options", False):
+        try:
+            return obj(**(spec.options or {}))
+        except (TypeError, ValueError) as e:
+            raise FunctionConfigError(f"function {spec.name!r}: {e}") from e
+    if spec.options is not None:
+        raise FunctionConfigError(f"function {spec.name!r}: {spec.target} takes no options")
+    return obj
+
+
 def register_functions(session: SparkSession, specs: tuple[FunctionSpec, ...]) -> None:
     for spec in specs:
-        register_function(session, spec.name, resolve(spec.target), spec.arity, spec.spark_return_type)
+        register_function(session, spec.name, build(spec), spec.arity, spec.spark_return_type)

@@ -18,12 +18,20 @@ Rules (per declared type):
   JSON text.
 * ``array<int>`` elements go through the integer coercion; a null element is 0.
 
+Numbers for ``int`` and ``long`` are truncated toward zero, however many decimals
+they have, and any exponent is decided by moving the point in the text, so a
+message costs what its length costs. Numbers for ``double`` and ``float`` must be
+finite: ``NaN``, ``Infinity``, ``1e400``, a float out of range, and Java spellings
+like ``5f`` are bad records. White space of any kind around a number counts for
+nothing; a message of white space only is an empty message.
+
 Declared deviations: an integer that overflows the declared type is a bad record
 (it would wrap silently in a JVM library), and the text ``"21.9"`` for an
 ``int`` is accepted as 21 (after the text parse a JSON number and a JSON string
-cannot be told apart). JSON keys are case-sensitive; the last of duplicate keys
-wins; trailing text after the object is ignored; unquoted field names and single
-quotes are accepted.
+cannot be told apart). A JSON number in a ``string`` field becomes the text of the
+nearest double (``1e2`` gives ``100.0``, digits beyond a double's are lost). JSON keys
+are case-sensitive; the last of duplicate keys wins; trailing text after the object is
+ignored; unquoted field names and single quotes are accepted.
 
 Bad records: ``on_bad_record="fail"`` raises on the first one (the reference has
 no error handling, so one bad message fails the batch); ``"quarantine"`` keeps
@@ -58,7 +66,9 @@ JSON_OPTIONS = {
     "allowNonNumericNumbers": "true",
 }
 
-_DECIMAL_HOP = T.DecimalType(38, 6)
+# Fixed value: the white space that JSON texts and numbers may be surrounded by.
+WHITE_SPACE = " \t\n\x0b\f\r"
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 @dataclass(frozen=True)
@@ -75,17 +85,37 @@ class Decoded:
     checked: DataFrame
 
 
+def _trim(v: Column) -> Column:
+    return F.trim(v, F.lit(WHITE_SPACE))
+
+
 def _absent(v: Column) -> Column:
-    return v.isNull() | F.trim(v).isin(*ABSENT_TEXTS)
+    return v.isNull() | _trim(v).isin(*ABSENT_TEXTS)
 
 
 def _bool_number(v: Column, dtype: T.DataType) -> Column:
-    lv = F.lower(F.trim(v))
+    lv = F.lower(_trim(v))
     return F.when(lv == "true", F.lit(1).cast(dtype)).when(lv == "false", F.lit(0).cast(dtype))
 
 
 def _no_commas(v: Column) -> Column:
-    return F.replace(v, F.lit(","), F.lit(""))
+    return F.replace(_trim(v), F.lit(","), F.lit(""))
+
+
+def _truncated(s: Column, dtype: T.DataType) -> Column:
+    """A number's text, with point or exponent, truncated toward zero; NULL when it is
+    no number or out of range. The exponent moves the point in the digits, so its size
+    costs nothing."""
+    mantissa = F.regexp_extract(s, r"^[+-]?([0-9.]*)", 1)
+    whole = F.substring_index(mantissa, ".", 1)
+    digits = F.replace(mantissa, F.lit("."), F.lit(""))
+    bare = F.ltrim(digits, F.lit("0"))
+    exponent = F.regexp_extract(s, r"[eE][+-]?0*([0-9]+)$", 1)
+    size = F.when(exponent == "", 0).when(F.length(exponent) > 6, 1_000_000).otherwise(exponent.try_cast(T.IntegerType()))
+    moved = F.when(s.rlike("[eE]-"), -size).otherwise(size)
+    n = F.length(whole) + moved - (F.length(digits) - F.length(bare))        # digits before the point
+    text = F.when((bare == "") | (n <= 0), F.lit("0")).when(n <= 19, F.rpad(F.substr(bare, F.lit(1), n), n, F.lit("0")))
+    return F.when(s.rlike(NUMBER), F.concat(F.when(s.startswith("-"), "-").otherwise(""), text).try_cast(dtype))
 
 
 # Every cast below is reached only with text that has already passed the cheap
@@ -96,25 +126,33 @@ def _no_commas(v: Column) -> Column:
 def coerce_integral(v: Column, dtype: T.DataType) -> Column:
     """Text -> int/long, or NULL when absent or not coercible.
 
-    Numbers go through DECIMAL(38,6), which accepts ``21``, ``21.9`` (-> 21),
-    ``1e2`` and, once separators are dropped, ``1,234``; the second cast is
-    NULL on overflow.
+    ``21``, ``21.9`` (-> 21), ``1e2`` and, once separators are dropped, ``1,234``.
+    The rule for points and exponents runs in a lambda: an expression tree, not
+    inlined into generated code.
     """
+    plain = _no_commas(v)
+    odd = F.transform(F.array(plain), lambda s: _truncated(s, dtype)).getItem(0)
     return F.when(_absent(v), F.lit(None).cast(dtype)).otherwise(
-        F.coalesce(_bool_number(v, dtype), _no_commas(v).try_cast(_DECIMAL_HOP).try_cast(dtype))
+        F.coalesce(_bool_number(v, dtype), F.when(plain.rlike("[.eE]"), odd).otherwise(plain.try_cast(dtype)))
     )
 
 
+def _finite(v: Column) -> Column:
+    """NULL for NaN and the infinities."""
+    return F.when(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")), v)
+
+
 def coerce_fractional(v: Column, dtype: T.DataType) -> Column:
-    """Text -> double/float, or NULL when absent or not coercible."""
+    """Text -> double/float, or NULL when absent, not coercible or not finite."""
+    plain = _no_commas(v)
     as_double = F.when(_absent(v), F.lit(None).cast(T.DoubleType())).otherwise(
-        F.coalesce(_bool_number(v, T.DoubleType()), _no_commas(v).try_cast(T.DoubleType()))
+        F.coalesce(_bool_number(v, T.DoubleType()), F.when(plain.rlike(NUMBER), plain.try_cast(T.DoubleType())))
     )
-    return as_double if isinstance(dtype, T.DoubleType) else as_double.cast(dtype)
+    return _finite(as_double if isinstance(dtype, T.DoubleType) else as_double.cast(dtype))
 
 
 def coerce_boolean(v: Column) -> Column:
-    lv = F.lower(F.trim(v))
+    lv = F.lower(_trim(v))
     return F.when(lv.isin(*TRUE_TEXTS), F.lit(True)).when(lv.isin(*FALSE_TEXTS), F.lit(False))
 
 
@@ -130,19 +168,16 @@ _DEFAULTS = {"int": 0, "long": 0, "double": 0.0, "float": 0.0, "boolean": False}
 
 
 def field_rule(f: Field, raw: Column) -> tuple[Column, Column]:
-    """(typed value, bad-record reason or NULL) for one field of the all-text parse."""
+    """(typed value, bad-record reason or NULL) for one field of the text parse."""
     missing = F.lit(f"missing:{f.name}")
     coercion = F.lit(f"coercion:{f.name}")
+    if f.kind in ("int", "long", "array<int>"):
+        return typed_rule(f, raw)
     if f.kind in _DEFAULTS:
         c = _coerce(raw, f.kind)
         typed = F.coalesce(c, F.lit(_DEFAULTS[f.kind]).cast(f.data_type))
         bad = F.when(c.isNull() & ~_absent(raw), coercion)
         return typed, bad
-    if f.kind == "array<int>":
-        typed = F.transform(raw, lambda x: F.coalesce(coerce_integral(x, T.IntegerType()), F.lit(0)))
-        not_coercible = F.exists(raw, lambda x: coerce_integral(x, T.IntegerType()).isNull() & ~_absent(x))
-        bad = F.when(raw.isNull(), missing).when(not_coercible, coercion)
-        return typed, bad
     # string, array<string>, unknown types carried as text
     return raw, F.when(raw.isNull(), missing)
 
@@ -150,50 +185,59 @@ def field_rule(f: Field, raw: Column) -> tuple[Column, Column]:
 def typed_rule(f: Field, parsed: Column) -> tuple[Column, Column]:
     """(typed value, reason) for one field of a record the typed parse accepted.
 
-    Integral fields were read as DECIMAL(38,6), which takes JSON integers,
-    JSON fractions and numeric text with "," separators exactly as the text
-    rules do; narrowing truncates, and a value outside the declared range is a
-    bad record. Other fields were read with their declared type, so the only
-    rules left are defaults for nulls and non-null for the rest.
+    Integral fields were read as variants, which hold any JSON scalar exactly: a
+    number narrows by truncation, everything else takes the text rules. Other
+    fields were read with their declared type; what is left are defaults for
+    nulls, finite numbers, and non-null for the rest.
     """
     coercion = F.lit(f"coercion:{f.name}")
     if f.kind in ("int", "long"):
-        narrowed = parsed.try_cast(f.data_type)
-        value = F.coalesce(narrowed, F.lit(0).cast(f.data_type))
-        return value, F.when(parsed.isNotNull() & narrowed.isNull(), coercion)
+        value, bad = _integral_variant(parsed, f.data_type)
+        return value, F.when(bad, coercion)
+    if f.kind == "boolean":
+        return F.coalesce(parsed, F.lit(False)), F.lit(None).cast("string")
     if f.kind in _DEFAULTS:
-        value = parsed.cast(f.data_type) if f.kind == "float" else parsed
-        return F.coalesce(value, F.lit(_DEFAULTS[f.kind]).cast(f.data_type)), F.lit(None).cast("string")
+        value = _finite(parsed.cast(f.data_type) if f.kind == "float" else parsed)
+        return (F.coalesce(value, F.lit(_DEFAULTS[f.kind]).cast(f.data_type)),
+                F.when(parsed.isNotNull() & value.isNull(), coercion))
     if f.kind == "array<int>":
-        typed = F.transform(parsed, lambda x: F.coalesce(x.try_cast(T.IntegerType()), F.lit(0)))
-        overflow = F.exists(parsed, lambda x: x.isNotNull() & x.try_cast(T.IntegerType()).isNull())
-        return typed, F.when(parsed.isNull(), F.lit(f"missing:{f.name}")).when(overflow, coercion)
+        typed = F.transform(parsed, lambda x: _integral_variant(x, T.IntegerType())[0])
+        bad = F.exists(parsed, lambda x: _integral_variant(x, T.IntegerType())[1])
+        return typed, F.when(parsed.isNull(), F.lit(f"missing:{f.name}")).when(bad, coercion)
     return parsed, F.when(parsed.isNull(), F.lit(f"missing:{f.name}"))
 
 
+def _integral_variant(v: Column, dtype: T.DataType) -> tuple[Column, Column]:
+    """(value with its default, is it a bad record) of a variant read for an integer."""
+    number = v.try_cast(dtype)
+    text = v.try_cast(T.StringType())
+    value = F.coalesce(number, F.when(text.isNotNull(), coerce_integral(text, dtype)))
+    return F.coalesce(value, F.lit(0).cast(dtype)), F.coalesce(value.isNull() & ~_absent(text), F.lit(False))
+
+
 def raw_schema(fields: tuple[Field, ...], corrupt_col: str) -> T.StructType:
-    """The all-text schema of the fallback parse."""
-    cols = [
-        T.StructField(f.name, T.ArrayType(T.StringType()) if f.is_array else T.StringType(), True)
-        for f in fields
-    ]
+    """The schema of the fallback parse: text, and variants for integers, whose digits
+    a text parse would lose to doubles."""
+    def kind(f: Field) -> T.DataType:
+        one = T.VariantType() if f.kind in ("int", "long", "array<int>") else T.StringType()
+        return T.ArrayType(one) if f.is_array else one
+    cols = [T.StructField(f.name, kind(f), True) for f in fields]
     return T.StructType(cols + [T.StructField(corrupt_col, T.StringType(), True)])
 
 
 def _typed_read_type(f: Field) -> T.DataType:
     if f.kind in ("int", "long"):
-        return _DECIMAL_HOP
+        return T.VariantType()
     if f.kind == "array<int>":
-        return T.ArrayType(_DECIMAL_HOP)
+        return T.ArrayType(T.VariantType())
     if f.kind == "float":
         return T.DoubleType()
     return f.data_type
 
 
 def typed_schema(fields: tuple[Field, ...], corrupt_col: str) -> T.StructType:
-    """The schema of the first, typed parse: integral values are read as
-    DECIMAL(38,6) and floats as doubles, then narrowed, exactly as the text
-    path does."""
+    """The schema of the first, typed parse: integral values are read as variants and
+    floats as doubles, then narrowed, exactly as the text path does."""
     cols = [T.StructField(f.name, _typed_read_type(f), True) for f in fields]
     return T.StructType(cols + [T.StructField(corrupt_col, T.StringType(), True)])
 
@@ -213,8 +257,8 @@ class Decoder:
     the messages (topic metadata and so on) are not carried.
 
     Two parses, the second only when needed: every message is parsed once with
-    the declared types (integral ones read as DECIMAL(38,6), so ``21.9`` or
-    ``"1,234"`` for an int already fit), which is the cheap path. A message that
+    the declared types (integral ones read as variants, so ``21.9`` or ``"1,234"``
+    for an int already fit), which is the cheap path. A message that
     does not fit (a number sent as text for a double, ``true`` for a number,
     ``"Y"`` for a boolean, text with spaces, malformed text) is marked by the
     parser; only those messages are parsed again as text and go through the
@@ -272,7 +316,7 @@ class Decoder:
                  for i, f in enumerate(fields)]
         m = F.col("__msg")
         reason = F.coalesce(
-            F.when(m.isNull() | (F.trim(m) == ""), F.lit("empty")),
+            F.when(m.isNull() | (_trim(m) == ""), F.lit("empty")),
             F.when(misfit & s.getField("malformed"), F.lit("malformed")),
             F.when(misfit, F.coalesce(*[s.getField(f"r{i}") for i in range(len(fields))]))
             .otherwise(F.col("__fr")),

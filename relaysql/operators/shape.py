@@ -6,7 +6,9 @@
   INT column, ``long`` a BIGINT (declare ``count(*)`` as ``long``), and so on;
   ``string`` and unknown types accept any column and carry it as text. Nulls
   follow the encode rules: numbers become ``0``/``0.0``, booleans ``false``,
-  strings stay null (their key is omitted), a null array is an error.
+  strings stay null (their key is omitted), a null array is an error, a null
+  element of ``array<int>`` becomes ``0``. JSON has no NaN and no infinity:
+  a ``double`` or ``float`` that is not finite counts as null.
 * :func:`encode_json` (O2) turns each shaped row into one JSON object text in a
   ``value`` column, ready for a topic or text sink.
 """
@@ -62,9 +64,12 @@ def shape(result: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
             if found[0] != T.StringType():
                 c = c.cast("string")
         elif f.kind in _NULL_DEFAULTS:
+            if f.kind in ("double", "float"):
+                c = F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)
             c = F.coalesce(c, F.lit(_NULL_DEFAULTS[f.kind]).cast(f.data_type))
         else:  # arrays
-            c = F.when(c.isNull(), F.raise_error(F.lit(f"output field {f.name!r}: array is null"))).otherwise(c)
+            c = F.when(c.isNull(), F.raise_error(F.lit(f"output field {f.name!r}: array is null"))).otherwise(
+                F.transform(c, lambda x: F.coalesce(x, F.lit(0))) if f.kind == "array<int>" else c)
         cols.append(c.alias(f.name))
     return result.select(*cols)
 

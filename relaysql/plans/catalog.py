@@ -3,8 +3,7 @@
 Every query reads the driver tables under ``sf_dir`` in full, turns them into
 JSON messages the way a producer would, and runs a real job over them
 (decode -> ``source`` -> SQL -> shape, and where the operator is about output,
-encode -> re-read). ``ORACLES`` holds the equivalent SQL over the raw tables;
-queries absent from it are compared by row count only.
+encode -> re-read). ``ORACLES`` holds the equivalent SQL over the raw tables.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relaysql.functions.lookup import const_lookup, lookup_join
-from relaysql.plans.conformance import CONFORMANCE, ROWS_ONLY
+from relaysql.plans.conformance import CONFORMANCE
 from relaysql.plans.job import BatchResult, SqlJob, preview
 from relaysql.session import shared_path
 from relaysql.sources.tables import (
@@ -106,10 +105,12 @@ def sql_project_udf(spark, sf_dir):
     return run(spark, flagship_job(), lambda s: event_messages(s, sf_dir)).values
 
 
-@register("sql_preview")
+@register("sql_preview", "SELECT event_type || '_new' AS newname, user_id, event_id FROM events ORDER BY event_id LIMIT 20")
 def sql_preview(spark, sf_dir):
-    """Q2: the first rows of the result, as a preview shows them (rows only)."""
-    return preview(run(spark, flagship_job(), lambda s: event_messages(s, sf_dir)).shaped)
+    """Q2: the first rows of the result, as a preview shows them; the job's SQL orders
+    its result, so the rows are determined."""
+    return preview(events_job(spark, sf_dir, "select m1(event_type) as newname, user_id, event_id from source order by event_id",
+                              {"newname": "string", "user_id": "long", "event_id": "long"}, FLAGSHIP_FUNCTIONS).shaped)
 
 
 # --- decode (D1-D5) --------------------------------------------------------------------
@@ -131,9 +132,14 @@ register("decode_string", "SELECT c_custkey, c_name, c_mktsegment FROM customer"
 )
 
 register("decode_int",
-         "SELECT l_orderkey, l_linenumber, CAST(trunc(l_quantity) AS INTEGER) AS l_quantity FROM lineitem")(
-    _plain("lineitem", {"l_orderkey": "long", "l_linenumber": "int", "l_quantity": "int"},
-           "select l_orderkey, l_linenumber, l_quantity from source")
+         "SELECT l_orderkey, l_linenumber, CAST(trunc(l_quantity) AS INTEGER) AS l_quantity, "
+         "CAST(trunc(CASE WHEN l_linenumber % 2 = 0 THEN -1 ELSE 1 END * l_quantity) AS INTEGER) AS near FROM lineitem")(
+    _plain("lineitem", {"l_orderkey": "long", "l_linenumber": "int", "l_quantity": "int", "near": "int"},
+           "select l_orderkey, l_linenumber, l_quantity, near from source",
+           # just below the next integer, or just above the next one down: truncated toward zero
+           fields=lambda: ["l_orderkey", "l_linenumber", "l_quantity",
+                           (F.when(F.col("l_linenumber") % 2 == 0, -1).otherwise(1)
+                            * (F.floor("l_quantity").cast("decimal(12,0)") + F.lit("0.9999999").cast("decimal(8,7)"))).alias("near")])
 )
 
 register("decode_long",
@@ -268,7 +274,8 @@ def bad_record_quarantine(spark, sf_dir):
             .when(kind == 0, F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(",")))
             .when(kind == 1, F.to_json(F.struct("event_id", "user_id")))
             .when(kind == 2, F.to_json(F.struct("event_id", F.lit("abc").alias("user_id"), "event_type")))
-            .otherwise(F.lit("")).alias("value"))
+            # empty, or white space of some kind
+            .otherwise(F.element_at(F.array(*map(F.lit, ["", "\t", " \r\n", "\n"])), ((F.col("event_id") / 40).cast("int") % 4 + 1))).alias("value"))
 
     out = run(spark, job, messages)
     # one pass over the decode stage that both the rows and the rejects come from
@@ -454,7 +461,7 @@ register("lookup_const_pooled",
 @register("lookup_keyed",
           "SELECT c_custkey, c_name, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
 def lookup_keyed(spark, sf_dir):
-    """Per-row key: customer messages joined to the nation table (size-checked broadcast)."""
+    """Per-row key: customer messages joined to the nation table, stored and joined by size."""
     schema = {"c_custkey": "long", "c_name": "string", "c_nationkey": "int"}
     job = SqlJob(spec_of(json.dumps(schema), schema, "select * from source"))
     out = run(spark, job, lambda s: as_messages(read_table(s, sf_dir, "customer"), *schema))
@@ -463,6 +470,31 @@ def lookup_keyed(spark, sf_dir):
         "c_custkey", "c_name", "n_name")
 
 
+@register("lookup_duplicates",
+          "SELECT s_suppkey, c.c_name, c.c_acctbal FROM supplier LEFT JOIN (SELECT c_nationkey, max(c_name) AS c_name, "
+          "arg_max(c_acctbal, c_name) AS c_acctbal FROM customer GROUP BY c_nationkey) c ON s_nationkey = c_nationkey")
+def lookup_duplicates(spark, sf_dir):
+    """A lookup table with many rows per key and two value columns: one real row counts."""
+    schema = {"s_suppkey": "long", "s_nationkey": "int"}
+    job = SqlJob(spec_of(json.dumps(schema), schema, "select * from source"))
+    out = run(spark, job, lambda s: as_messages(read_table(s, sf_dir, "supplier"), *schema))
+    customers = read_table(out.source.sparkSession, sf_dir, "customer")
+    return lookup_join(out.source, "s_nationkey", customers, "c_nationkey", ["c_name", "c_acctbal"]).select(
+        "s_suppkey", "c_name", "c_acctbal")
+
+
+@register("lookup_from_config",
+          f"SELECT event_id, event_type || '_' || {_KV_ORACLE} || '_new' AS a, event_type || '_null_new' AS b FROM events")
+def lookup_from_config(spark, sf_dir):
+    """The pooled lookup named in the function config alone, options and all."""
+    entry = lambda name, key: {
+        "name": name, "mainClass": "relaysql.functions.lookup:const_lookup", "param": "(String)", "returnType": "string",
+        "options": {"view": "kv", "key_col": "k", "value_col": "v", "key": key, "style": "pooled"}}
+    return events_job(spark, sf_dir, "select event_id, m1(event_type) as a, m0(event_type) as b from source",
+                      {"event_id": "long", "a": "string", "b": "string"}, [entry("m1", LOOKUP_KEY), entry("m0", "k1")],
+                      reference_views={"kv": lambda s: _kv(s, sf_dir)}).shaped
+
+
 @register("lookup_view_join",
           "SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey "
           "JOIN region ON n_regionkey = r_regionkey")
@@ -490,7 +522,7 @@ def topic_value_only(spark, sf_dir):
     records = e.select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
         F.to_json(F.struct("event_id", "user_id", "event_type")).cast("binary").alias("value"),
-        F.lit("stu").alias("topic"), (F.col("user_id") % 4).cast("int").alias("partition"),
+        F.lit("events").alias("topic"), (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
     return value_only(records)
 
@@ -568,6 +600,4 @@ def stream_batch_local_agg(spark, sf_dir):
 
 for _name, (_spark_sql, _duck_sql) in CONFORMANCE.items():
     register(_name, with_source(_duck_sql or _spark_sql))(sql_output(_spark_sql))
-for _name, _spark_sql in ROWS_ONLY.items():
-    register(_name)(sql_output(_spark_sql))
 

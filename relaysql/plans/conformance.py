@@ -52,9 +52,11 @@ CONFORMANCE: dict[str, tuple[str, str | None]] = {
         None,
     ),
     "sql_join_right": (
-        "SELECT t.event_type, t.weight, count(s.event_id) AS n FROM source s "
+        # counted per type before the join: a right join cannot split a hot key of its left side
+        "SELECT t.event_type, t.weight, coalesce(s.n, 0) AS n "
+        "FROM (SELECT event_type, count(event_id) AS n FROM source GROUP BY event_type) s "
         "RIGHT JOIN (VALUES ('view', 1), ('refund', 3), ('signup', 5)) AS t(event_type, weight) "
-        "ON s.event_type = t.event_type GROUP BY t.event_type, t.weight",
+        "ON s.event_type = t.event_type",
         None,
     ),
     "sql_join_semi_anti": (
@@ -241,11 +243,10 @@ CONFORMANCE: dict[str, tuple[str, str | None]] = {
         "if(value > 50, 'big', 'small') AS sz, coalesce(CASE WHEN value > 400 THEN event_type END, '-') AS hi, "
         "nullif(user_id % 10, 0) AS nz, nullif(event_type, 'view') IS NULL AS is_view FROM source",
     ),
-}
-
-# Rows-only: no exact oracle (approximate by design).
-ROWS_ONLY: dict[str, str] = {
     "sql_approx_distinct": (
-        "SELECT event_type, approx_count_distinct(user_id) AS approx_users FROM source GROUP BY event_type"
+        # approximate by design: checked as lying within three standard errors of the exact count
+        "SELECT event_type, abs(approx_count_distinct(user_id) - count(DISTINCT user_id)) "
+        "<= 3 * 0.05 * count(DISTINCT user_id) + 1 AS within_bound FROM source GROUP BY event_type",
+        "SELECT event_type, true AS within_bound FROM source GROUP BY event_type",
     ),
 }

@@ -1,11 +1,14 @@
 """One job = decode -> view ``source`` -> user SQL -> shape -> JSON.
 
-:meth:`SqlJob.run_batch` is the core. It is lazy: it builds DataFrames and runs
-nothing, so the decode, the SQL and the encode are one Catalyst plan. Columns
-the SQL does not read are pruned out of the ``from_json`` schema, filters land
-next to the scan, and the only shuffles are the ones the SQL itself asks for.
-The stream runner calls the same method once per micro-batch, so every batch is
-computed independently (aggregates, windows and DISTINCT see one batch).
+:meth:`SqlJob.run_batch` is the core. It builds DataFrames and fires no Spark job,
+so the decode, the SQL and the encode are one Catalyst plan. Every declared field
+is decoded and checked whatever the SQL reads (a bad record is bad either way), and
+user filters stay above the decode; besides the SQL's own shuffles there is at most
+one, which spreads an input of few partitions. ``source`` is a view over the decode:
+SQL that names it several times decodes several times unless the decoded stage is
+persisted, which the stream runner does. It calls the same method once per
+micro-batch, so every batch is computed independently (aggregates, windows and
+DISTINCT see one batch).
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ class BatchResult:
     values: DataFrame        # one JSON text per row, column ``value``
     rejected: DataFrame | None  # bad messages (value, reason) under quarantine
     checked: DataFrame       # decode stage shared by ``source`` and ``rejected``
+    mentions: int            # how often the SQL reads ``source``
 
 
 class SqlJob:
@@ -90,7 +94,13 @@ class SqlJob:
         decoded.rows.createOrReplaceTempView(SOURCE_VIEW)
         result = messages.sparkSession.sql(self.spec.sql)
         shaped = shape(result, self.spec.output_fields) if self.spec.output_fields else result
-        return BatchResult(decoded.rows, result, shaped, encode_json(shaped), decoded.rejected, decoded.checked)
+        return BatchResult(decoded.rows, result, shaped, encode_json(shaped), decoded.rejected, decoded.checked,
+                           source_mentions(result))
+
+
+def source_mentions(result: DataFrame) -> int:
+    """How often the analysed plan, subqueries included, reads the view ``source``."""
+    return result._jdf.queryExecution().analyzed().toString().count(f"View (`{SOURCE_VIEW}`")
 
 
 # At most this many partitions are made from each input partition: enough to
@@ -104,8 +114,12 @@ def spread(df: DataFrame, target: int | None = None) -> DataFrame:
 
     The target is ``target`` if given, else ``min(task slots, SPREAD_FACTOR x
     input partitions)``; an input already at or above it is left alone (no
-    shuffle). Only the partition count is read from the plan; nothing runs.
+    shuffle). Nothing runs here: partitions are counted only where the plan is
+    narrow down to its scan. A plan with a shuffle (or a subquery) gets its
+    partitions when it runs, from AQE, and counting them would run it.
     """
+    if _runs_to_count(df):
+        return df
     n = df.rdd.getNumPartitions()
     if target is None:
         target = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_FACTOR * max(n, 1))
@@ -114,6 +128,11 @@ def spread(df: DataFrame, target: int | None = None) -> DataFrame:
     return df
 
 
+def _runs_to_count(df: DataFrame) -> bool:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "AdaptiveSparkPlan" in plan or "Exchange" in plan
+
+
 def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
     """Q2: the first ``n`` result rows, as ``show()`` would print them."""
     return df.limit(n)

@@ -78,7 +78,8 @@ class MessageSource:
         opts = {
             "kafka.bootstrap.servers": self.location,
             "subscribe": self.topic,
-            "startingOffsets": self.starting_offsets,
+            # a batch read cannot start at the end of the topic
+            "startingOffsets": "earliest" if not streaming and self.starting_offsets == "latest" else self.starting_offsets,
             "failOnDataLoss": "true",
         }
         if self.group_id:
@@ -91,14 +92,14 @@ class MessageSource:
     def read_stream(self, session: SparkSession) -> DataFrame:
         reader = session.readStream.format(self.transport).options(**self.reader_options(True))
         if self.transport == "text":
-            return _load(reader, self.transport, self.location)
+            return value_only(_load(reader, self.transport, self.location))
         return value_only(_load(reader, self.transport))
 
     def read(self, session: SparkSession) -> DataFrame:
         """Batch read of what is in the topic now (S3 reads from ``earliest``)."""
         reader = session.read.format(self.transport).options(**self.reader_options(False))
         if self.transport == "text":
-            return _load(reader, self.transport, self.location)
+            return value_only(_load(reader, self.transport, self.location))
         return value_only(_load(reader, self.transport))
 
 
@@ -136,13 +137,16 @@ class MessageSink:
         opts.update({k: str(v) for k, v in self.options.items()})
         return opts
 
-    def write(self, values: DataFrame, batch_id: int | None = None) -> None:
+    def write(self, values: DataFrame, batch_id: int | None = None, run: str | None = None) -> None:
         """Publish the ``value`` column (appended, as to a topic).
 
-        For text with a ``batch_id``, each batch goes to its own ``batch_id=N``
-        folder written in overwrite mode, so a batch that is run again after a
-        failure replaces its earlier output instead of duplicating it.
+        For text with a ``batch_id`` and ``run``, the identity that a stream's
+        checkpoint holds, each batch goes to its own ``run=R/batch_id=N`` folder
+        written in overwrite mode: a batch that is run again after a failure
+        replaces its own earlier output, and never that of another run.
         """
+        if batch_id is not None and not run:
+            raise ValueError("a batch needs the identity of its run, else it could replace another run's output")
         out = values.select(F.col("value").cast("string").alias("value"))
         if self.transport == "kafka":
             try:
@@ -155,7 +159,7 @@ class MessageSink:
         if batch_id is None:
             out.write.mode("append").options(**self.writer_options()).text(self.location)
             return
-        path = f"{self.location.rstrip('/')}/batch_id={batch_id}"
+        path = f"{self.location.rstrip('/')}/run={run}/batch_id={batch_id}"
         out.write.mode("overwrite").options(**self.writer_options()).text(path)
 
 

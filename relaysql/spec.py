@@ -22,13 +22,21 @@ ARG_NAMES = (
     "out_topic", "group_id", "input_schema", "output_schema", "functions", "sql",
 )
 
+DEFAULT_APP_NAME = "relaysql-job"
+
 # The sample job the original ran with no arguments.
+SAMPLE_TOPICS = {"in_topic": "stu", "out_topic": "stu_clean", "group_id": "g1"}
 SAMPLE_INPUT_SCHEMA = '{"name":"string","age":"int","favors":"array<string>"}'
 SAMPLE_OUTPUT_SCHEMA = '{"newname":"string","age":"int","favors":"array<string>"}'
 SAMPLE_FUNCTIONS = (
     '[{"name":"m1","mainClass":"relaysql.functions.library:suffix_new",'
     '"param":"(String)","returnType":"string"}]'
 )
+# The same with the pooled lookup; the store is a view of two columns.
+SAMPLE_LOOKUP_FUNCTIONS = (
+    '[{"name":"m1","mainClass":"relaysql.functions.lookup:const_lookup","param":"(String)","returnType":"string",'
+    '"options":{"view":"kv","key_col":"k","value_col":"v","key":"k1","style":"pooled"}}]'
+)
 SAMPLE_SQL = "select m1(name) as newname,age,favors from source"
 
 
@@ -42,7 +50,7 @@ class JobSpec:
     output_schema: str
     sql: str
     functions: str = ""
-    app_name: str = "relaysql-job"
+    app_name: str = DEFAULT_APP_NAME
     master: str | None = None
     interval_seconds: int = 5
     in_servers: str = ""
@@ -76,10 +84,11 @@ class JobSpec:
         return cls(**values, **options)
 
     @classmethod
-    def sample(cls, **overrides) -> JobSpec:
+    def sample(cls, lookup: bool = False, **overrides) -> JobSpec:
+        """The sample job; ``lookup``: with the pooled lookup, whose store is the
+        reference view ``kv`` (k, v)."""
         values = dict(input_schema=SAMPLE_INPUT_SCHEMA, output_schema=SAMPLE_OUTPUT_SCHEMA,
-                      functions=SAMPLE_FUNCTIONS, sql=SAMPLE_SQL, in_topic="stu", out_topic="stu_clean",
-                      group_id="g1")
+                      functions=SAMPLE_LOOKUP_FUNCTIONS if lookup else SAMPLE_FUNCTIONS, sql=SAMPLE_SQL, **SAMPLE_TOPICS)
         values.update(overrides)
         return cls(**values)
 

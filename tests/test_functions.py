@@ -106,13 +106,15 @@ def test_service_lookup_fixed_and_keyed(spark):
     assert got == [("jack_v1_new", "jack+J"), ("null_v1_new", "null+null"), ("zed_v1_new", "zed+null")]
 
 
-def test_lookup_join_broadcast_only_under_bound(spark):
-    left = spark.createDataFrame([(1,), (2,), (3,)], "k int")
-    table = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id int, v string")
+def test_lookup_join_is_broadcast_by_size_only(spark):
+    session = spark.newSession()
+    left = session.createDataFrame([(1,), (2,), (3,)], "k int")
+    table = session.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id int, v string")
     small = lookup_join(left, "k", table, "id", ["v"])
     assert sorted(tuple(r) for r in small.collect()) == [(1, "b"), (2, "c"), (3, None)]
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    big = lookup_join(left, "k", table, "id", ["v"], max_broadcast_rows=1)
+    assert "strategy=broadcast" not in small._jdf.queryExecution().optimizedPlan().toString()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    big = lookup_join(left, "k", table, "id", ["v"])
     assert sorted(tuple(r) for r in big.collect()) == [(1, "b"), (2, "c"), (3, None)]
-    assert "strategy=broadcast" not in big._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in small._jdf.queryExecution().optimizedPlan().toString()
+    assert "SortMergeJoin" in big._jdf.queryExecution().executedPlan().toString()

@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 from relaysql import JobSpec, SqlJob
 from relaysql.session import shared_path
 from relaysql.sources.topic import kafka_sink, kafka_source, text_sink, text_source
@@ -27,7 +29,8 @@ def test_stream_is_batch_local_and_resumes_from_checkpoint(spark):
         q.awaitTermination()
         assert q.exception() is None
     assert sorted(_read(spark, out), key=lambda d: d["n"]) == [{"n": 1, "total": 10}, {"n": 2, "total": 3}]
-    assert sorted(d for d in os.listdir(out) if d.startswith("batch_id=")) == ["batch_id=0", "batch_id=1"]
+    (run,) = [d for d in os.listdir(out) if d.startswith("run=")]       # one checkpoint, one identity
+    assert sorted(d for d in os.listdir(f"{out}/{run}") if d.startswith("batch_id=")) == ["batch_id=0", "batch_id=1"]
 
 
 def test_stream_quarantine_sink(spark):
@@ -45,9 +48,66 @@ def test_stream_quarantine_sink(spark):
 def test_text_sink_batch_rerun_overwrites(spark):
     out = shared_path(spark, "rerun")
     sink = text_sink(out)
-    sink.write(spark.createDataFrame([("a",), ("b",)], "value string"), batch_id=3)
-    sink.write(spark.createDataFrame([("a",), ("b",)], "value string"), batch_id=3)
+    sink.write(spark.createDataFrame([("a",), ("b",)], "value string"), batch_id=3, run="r1")
+    sink.write(spark.createDataFrame([("a",), ("b",)], "value string"), batch_id=3, run="r1")
     assert sorted(r.value for r in text_source(out).read(spark).collect()) == ["a", "b"]
+    # another run's batch of the same number stands beside it
+    sink.write(spark.createDataFrame([("c",)], "value string"), batch_id=3, run="r2")
+    assert sorted(r.value for r in text_source(out).read(spark).collect()) == ["a", "b", "c"]
+    with pytest.raises(ValueError, match="identity"):
+        sink.write(spark.createDataFrame([("a",)], "value string"), batch_id=3)
+
+
+def test_second_job_on_one_folder_keeps_the_first_ones_output(spark):
+    topic, out = shared_path(spark, "two", "in"), shared_path(spark, "two", "out")
+    job = SqlJob(JobSpec(input_schema=IN, output_schema='{"k":"int"}', sql="select k from source"))
+    _publish(spark, topic, ['{"k":1,"t":"a"}'])
+    for _ in range(2):
+        q = start_stream(job, spark, text_source(topic), text_sink(out), checkpoint=shared_path(spark, "two", "ckpt"), available_now=True)
+        q.awaitTermination()
+    assert _read(spark, out) == [{"k": 1}, {"k": 1}]
+
+
+def test_start_refuses_to_lose_rejects_or_share_a_checkpoint(spark):
+    topic, out = shared_path(spark, "no", "in"), shared_path(spark, "no", "out")
+    _publish(spark, topic, ["oops"])
+    job = SqlJob(JobSpec(input_schema=IN, output_schema='{"k":"int"}', sql="select k from source", on_bad_record="quarantine"))
+    with pytest.raises(ValueError, match="quarantine sink"):
+        start_stream(job, spark, text_source(topic), text_sink(out), checkpoint=shared_path(spark, "no", "ckpt"))
+    plain = SqlJob(JobSpec(input_schema=IN, output_schema='{"k":"int"}', sql="select k from source"))
+    with pytest.raises(ValueError, match="checkpoint"):
+        start_stream(plain, spark, text_source(topic), text_sink(out))
+
+
+def test_source_named_twice_is_decoded_once_per_batch(spark):
+    topic, out = shared_path(spark, "once", "in"), shared_path(spark, "once", "out")
+    sql = "select k from source where k >= (select avg(k) from source) union all select k from source where k = 1"
+    job = SqlJob(JobSpec(input_schema=IN, output_schema='{"k":"int"}', sql=sql))
+    _publish(spark, topic, ['{"k":1,"t":"a"}', '{"k":3,"t":"b"}'])
+    seen = []
+    run_batch = job.run_batch
+
+    def watched(messages, *a):
+        seen.append(run_batch(messages, *a))
+        return seen[-1]
+
+    job.run_batch = watched
+    sink = text_sink(out)
+    plans = []
+
+    class Watching(type(sink)):
+        def write(self, values, *a, **k):
+            plans.append(values._jdf.queryExecution().executedPlan().toString())
+            super().write(values, *a, **k)
+
+    q = start_stream(job, spark, text_source(topic), Watching("text", out), checkpoint=shared_path(spark, "once", "ckpt"), available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None and sorted(d["k"] for d in _read(spark, out)) == [1, 3]
+    assert seen[0].mentions == 3 and "InMemoryTableScan" in plans[0]
+    assert not seen[0].checked.is_cached                 # released after the batch
+    one = SqlJob(JobSpec(input_schema=IN, output_schema='{"k":"int"}', sql="select k from source"))
+    session = one.open(spark)
+    assert one.run_batch(session.read.text(topic)).mentions == 1
 
 
 def test_kafka_options():
@@ -57,6 +117,7 @@ def test_kafka_options():
     assert opts["startingOffsets"] == "latest" and opts["kafka.group.id"] == "g1"
     assert opts["maxOffsetsPerTrigger"] == "1000" and "endingOffsets" not in opts
     dump = kafka_source("h:9092", "stu_clean", starting_offsets="earliest").reader_options(streaming=False)
+    assert src.reader_options(streaming=False)["startingOffsets"] == "earliest"      # a batch cannot start at the end
     assert dump["startingOffsets"] == "earliest" and dump["endingOffsets"] == "latest"
     assert kafka_sink("h:9092", "stu_clean").writer_options() == {"kafka.bootstrap.servers": "h:9092",
                                                                   "topic": "stu_clean"}
