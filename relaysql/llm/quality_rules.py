@@ -288,3 +288,75 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = written(text_stats(table(spark, sf_dir, "documents"), "text", ("doc_id", "lang", "source")), "op4-stats")
     return judge(stats, fit_outlier_models(stats)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+# ---------------------------------------------------------------- oracle
+
+def _layers_sql(source: str, layers) -> str:
+    for layer in layers:
+        source = f"(SELECT *, {', '.join(f'{sql} AS {name}' for name, sql in layer)} FROM {source})"
+    return source
+
+
+def oracle() -> str:
+    """The query in DuckDB SQL: counts by its own functions, models by the same arithmetic
+    on exact integer sums."""
+    moments = ", ".join(f"{sql} AS {name}" for name, sql in moment_sql("HUGEINT"))
+    summed = ", ".join(f"sum({m}) AS {m}" for m in MOMENTS)
+    model = lambda source, factor, keys: (
+        f"SELECT {keys}, {', '.join(MODEL)} FROM " + _layers_sql(source, [*scatter_layers(factor), *factor_layers()]))
+    at = lambda q: f"min(CASE WHEN upto >= {q} * n THEN bin END) / CAST(100 AS DOUBLE)"
+    first = ", ".join(f"max(CASE WHEN feature = '{n}' THEN mid END) AS m{i}, max(CASE WHEN feature = '{n}' THEN sd END) AS sd{i}"
+                      for i, n in enumerate(NAMES))
+    diagonal = [[(f"v{i}_{j}", f"sd{i} * sd{i} + {FEATURES[NAMES[i]][1] ** 2!r}" if i == j else "CAST(0 AS DOUBLE)") for i, j in PAIRS]]
+    parts = [
+        """docs AS (SELECT doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words,
+  [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS lines FROM docs),
+windows AS (SELECT doc_id, i, list_slice(words, i, i + 2) AS win FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS k FROM windows) WHERE k > 1),
+under AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id),
+counted AS (SELECT w.doc_id, coalesce('' || lang, chr(0)) AS lang_key, coalesce('' || source, chr(0)) AS source_key, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+  CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(under.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN under ON under.doc_id = w.doc_id)""".replace("\\\\", "\\"),
+        f"stats AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counted)",
+        f"featured AS (SELECT *, {', '.join(f'CASE WHEN n_words > 0 THEN {feature_sql(n)} END AS {n}' for n in NAMES)} FROM stats)",
+        "passed AS (SELECT * FROM featured WHERE NOT base_failed)",
+        "cnt AS (SELECT lang_key, source_key, count(*) AS n FROM passed GROUP BY 1, 2)",
+        f"""uses AS (SELECT lang_key, source_key,
+  CASE WHEN n >= {MIN_ROWS} THEN lang_key || chr(1) || source_key WHEN n_lang >= {MIN_ROWS} THEN lang_key WHEN n_all >= {MIN_ROWS} THEN '' END AS g,
+  CASE WHEN n >= {MIN_ROWS} THEN n WHEN n_lang >= {MIN_ROWS} THEN n_lang ELSE n_all END AS n
+  FROM (SELECT *, sum(n) OVER (PARTITION BY lang_key) AS n_lang, sum(n) OVER () AS n_all FROM cnt))""",
+        "sizes AS (SELECT DISTINCT g, n FROM uses WHERE g IS NOT NULL)",
+        f"""vectors AS (SELECT v.g, {', '.join(NAMES)} FROM (SELECT unnest([lang_key || chr(1) || source_key, lang_key, '']) AS g, {', '.join(NAMES)} FROM passed) v
+  JOIN sizes ON sizes.g = v.g)""",
+        "hist AS (SELECT g, feature, bin, count(*) AS c FROM (" + " UNION ALL ".join(
+            f"SELECT g, '{n}' AS feature, CAST(floor({n} / CAST({SCALE // 100} AS DOUBLE)) AS BIGINT) AS bin FROM vectors" for n in NAMES) + ") GROUP BY 1, 2, 3)",
+        """cumulated AS (SELECT *, sum(c) OVER (PARTITION BY g, feature ORDER BY bin ROWS UNBOUNDED PRECEDING) AS upto,
+  sum(c) OVER (PARTITION BY g, feature) AS n FROM hist)""",
+        f"quartiles AS (SELECT g, feature, {at(0.5)} AS mid, ({at(0.75)} - {at(0.25)}) / CAST(1.349 AS DOUBLE) AS sd FROM cumulated GROUP BY 1, 2)",
+        f"spread AS (SELECT g, {first} FROM quartiles GROUP BY g)",
+        f"model0 AS (SELECT g, 1 AS start, {', '.join(MODEL)} FROM " + _layers_sql("spread", [*diagonal, *factor_layers()])
+        + " UNION ALL " + model(f"(SELECT g, 2 AS start, {moments} FROM vectors GROUP BY g)", 1.0, "g, start") + ")",
+    ]
+    for k in range(C_STEPS):
+        parts += [
+            f"binned{k} AS (SELECT g, start, bin, {moments} FROM (SELECT *, {BIN_SQL} AS bin FROM (SELECT v.g, start, {', '.join(NAMES)}, "
+            f"{distance_sql()} AS d2 FROM vectors v JOIN model{k} m ON m.g = v.g)) GROUP BY 1, 2, 3)",
+            f"ranked{k} AS (SELECT *, sum(c) OVER (PARTITION BY g, start ORDER BY bin ROWS UNBOUNDED PRECEDING) - c AS before_bin FROM binned{k})",
+            f"closest{k} AS (SELECT r.g, start, {summed} FROM ranked{k} r JOIN sizes ON sizes.g = r.g WHERE before_bin < {NEED_SQL} GROUP BY 1, 2)",
+            f"model{k + 1} AS ({model(f'closest{k}', consistency(COVERED), 'g, start')})",
+        ]
+    parts += [
+        f"best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY logdet, start) AS k FROM model{C_STEPS}) WHERE k = 1)",
+        f"inside AS (SELECT g, {moments} FROM (SELECT v.g, {', '.join(NAMES)}, {distance_sql()} AS d2 FROM vectors v JOIN best m ON m.g = v.g) "
+        f"WHERE d2 <= {chi2_quantile(REWEIGHT, P)!r} GROUP BY g)",
+        f"final AS ({model('inside', consistency(REWEIGHT), 'g')})",
+    ]
+    return "WITH " + ",\n".join(p.replace(" AS (", " AS MATERIALIZED (", 1) for p in parts) + f"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT coalesce({distance_sql()} > {CUTOFF!r}, false) AS kept
+FROM featured f LEFT JOIN uses u ON u.lang_key = f.lang_key AND u.source_key = f.source_key LEFT JOIN final m ON m.g = u.g
+"""

@@ -22,6 +22,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_decontaminate": decontaminate.ORACLE,
+    "op4_quality_rules": quality_rules.oracle(),
     "op6_tool_calls": tool_calls.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
     "op9_warc_archive": warc_archive.ORACLE,
