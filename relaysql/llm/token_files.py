@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from relaysql.llm.common import flat_bytes, slices, table
+from relaysql.llm.common import LOWER, flat_bytes, slices, table
 from relaysql.session import shared_path, ship_package
 
 END_ID = 2
@@ -71,11 +71,16 @@ def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]
     starts = np.flatnonzero(begins)
     before = np.concatenate([[0], np.cumsum(solid)])          # kept bytes before each byte
     ends = np.concatenate([before[starts], before[-1:]]).astype(np.int32)
-    kept = data[solid]
+    kept = LOWER[data[solid]]                                  # as the vocabulary does; fewer chunks are distinct
     found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(kept)])
     return found, np.searchsorted(starts, offsets[1:]) - np.searchsorted(starts, offsets[:-1])
 
 
+def _portions(chunks_: list[bytes]):
+    for k in range(0, len(chunks_), ENCODE_AT_ONCE):
+        yield chunks_[k:k + ENCODE_AT_ONCE]
+
+
 class ChunkEncoder:
     """ids of distinct chunks, remembered up to a bound."""
 
@@ -83,6 +88,12 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.closes = None                               # by id: it ends a word
+        if suffix:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.closes[[i for w, i in vocabulary.items() if w.endswith(suffix)]] = True
         self.reset()
 
     def reset(self):
@@ -91,15 +102,33 @@ class ChunkEncoder:
         self.joined = None
 
     def learn(self, new: list[bytes]):
-        for k in range(0, len(new), ENCODE_AT_ONCE):
-            part = new[k:k + ENCODE_AT_ONCE]
+        # a chunk of letters is one unit of the vocabulary's splitting rule, and its last id
+        # ends a word: many are encoded as one text, which costs half as much
+        letters, rest = [], []
+        for x in new:
+            (letters if x.decode("utf-8", "replace").isalpha() else rest).append(x)
+        for part in _portions(letters):
+            if self.closes is None:
+                rest += part
+                continue
+            text = " ".join(x.decode("utf-8", "replace") for x in part)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.flatnonzero(self.closes[ids])
+            if len(ends) == len(part):
+                self.keep(part, ids, np.diff(np.concatenate([[-1], ends])))
+            else:                    # some letter's lower case is no letter: one by one
+                rest += part
+        for part in _portions(rest):
             e = self.tokenizer.encode([x.decode("utf-8", "replace") for x in part], is_pretokenized=True, add_special_tokens=False)
             ids = np.array(e.ids, np.int32)
             owner = np.array(e.word_ids, np.int64) if len(ids) else np.zeros(0, np.int64)
-            for x in part:
-                self.index[x] = len(self.index)
-            self.flat.append(ids)
-            self.lengths.append(np.bincount(owner, minlength=len(part)))
+            self.keep(part, ids, np.bincount(owner, minlength=len(part)))
+
+    def keep(self, part: list[bytes], ids: np.ndarray, lengths: np.ndarray):
+        for x in part:
+            self.index[x] = len(self.index)
+        self.flat.append(ids)
+        self.lengths.append(lengths)
         self.joined = None
 
     def table(self):
