@@ -27,13 +27,12 @@ def components(links: DataFrame) -> DataFrame:
         low = written(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         new = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
-        # done when no node is both an end and a start: all point at their smallest id
-        if new.join(new.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
-            several = new.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
-            edges = new
-            if several:
-                break
         edges = new
+        # done when every node points at one node, and none points at a node that points on
+        ends = new.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(new.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+        open_ = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least")).where("ups > 1 OR ups = 1 AND least = 0")
+        if open_.isEmpty():
+            break
     else:
         raise RuntimeError("components did not settle")
     roots = edges.select(F.col("v").alias("node")).distinct()

@@ -15,7 +15,8 @@ sizes a and b reach the similarity p only if their symmetric difference is at mo
   distance never exceeds the symmetric difference, so a pair beyond D is dropped
   safely. The rest is verified on whole texts.
 * A bucket whose members then lie in one component is done: nothing it holds could
-  merge anything. In the others all pairs across components are compared, so no
+  merge anything. In the others pairs across components are looked for, by the bits
+  in which members' sketches differ from the bucket's smallest id (``_across``). No
   link between different texts is lost.
 
 Equal sets form classes first and are never compared. Each slice of texts hands on
@@ -26,7 +27,7 @@ needed is a bitmap of fixed size; it only saves work.
 
 Null and blank texts have no shingles and link with nothing; texts with fewer
 words than a shingle have one, their whole sequence. Repeated rows each get a row;
-rows with one id are one node. Rows without an id get no component. An empty table
+rows with one id are one node, for which the greatest text stands. Rows without an id get no component. An empty table
 gives an empty result; other columns are not read by ``similar_documents``.
 """
 
@@ -34,7 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from relaysql.llm.common import LOWER, flat_bytes, mix64, slices, table, word_hashes, words, written
@@ -315,6 +316,66 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         f" AND {100 + percent} * ({far}) <= {100 - percent} * (n_a + n_b)").select("a", "b")
 
 
+def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
+    """``df`` with the component of ``node``; a node without links is its own."""
+    return df.join(labels.select(F.col("node").alias(node), F.col("component").alias("_c")), node, "left").select(
+        *df.columns, F.coalesce("_c", node).alias(name))
+
+
+def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that can link, among the members (root, doc,
+    component, near: in the root's component) of buckets with one smallest id.
+
+    Sets of one bucket are much alike, so what tells them apart is how their sketches
+    differ from the root's: the bits where they do are a small set with ``h`` elements.
+    Two sets within the distance D share at least t = (h_a + h_b - D) / 2 of these, so
+    with bits in order of rarity they share one of the first h_a - t + 1 and h_b - t + 1.
+    Where t is not positive, both stand so near the root that h tells them."""
+    sketch = sets.groupBy("doc_id").agg(F.max(F.struct("n_shingles", *SKETCH)).alias("s"))
+    sketch = written(sketch.select("doc_id", "s.*").join(
+        members.select(F.col("doc").alias("doc_id")).unionByName(members.select(F.col("root").alias("doc_id"))).distinct(), "doc_id", "left_semi"),
+        "join-sketches")
+    own = sketch.withColumnRenamed("doc_id", "doc").withColumnRenamed("n_shingles", "n")
+    root = sketch.select(F.col("doc_id").alias("root"), *(F.col(s).alias(f"{s}_r") for s in SKETCH))
+    rows = members.join(own, "doc").join(root, "root").select(
+        "root", "doc", "component", "near", "n", *((F.col(s).bitwiseXOR(F.col(f"{s}_r"))).alias(s) for s in SKETCH))
+    most = f"((n + (n * 100) div {percent}) * {100 - percent}) div {100 + percent}"      # D with the largest partner
+    # folded differences: a quarter as wide, and their distance is still a lower bound
+    folds = [f"f{i}" for i in range(SKETCH_WORDS // 4)]
+    rows = written(rows.withColumn("h", F.expr(" + ".join(f"bit_count({s})" for s in SKETCH)).cast("bigint")).withColumn(
+        "most", F.expr(most)).withColumns({f: F.expr(" ^ ".join(SKETCH[i::len(folds)])) for i, f in enumerate(folds)}), "join-differences")
+
+    def bits(batches):
+        for batch in batches:
+            words_ = np.stack([batch.column(s).to_numpy() for s in SKETCH], axis=1).astype("<i8") if len(batch) else np.zeros((0, SKETCH_WORDS), "<i8")
+            at, pos = np.nonzero(np.unpackbits(np.ascontiguousarray(words_).view(np.uint8), axis=1))
+            part = batch.select(["root", "doc"]).take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pos)], names=[*part.schema.names, "pos"])
+
+    least = rows.where("not near").groupBy("root").agg(F.min("h").alias("h_least"))
+    # narrow until the prefixes are cut: root, member, bit
+    rare = written(rows.mapInArrow(bits, "root bigint, doc bigint, pos bigint"), "join-bits")
+    order = Window.partitionBy("root", "doc").orderBy("often", "pos")                    # at most 1024 rows
+    ranked = rare.join(rare.groupBy("root", "pos").agg(F.count("*").alias("often")), ["root", "pos"]).withColumn(
+        "rank", F.row_number().over(order)).drop("often")
+    ranked = ranked.join(rows.drop(*SKETCH).join(least, "root"), ["root", "doc"])
+    # a member of the root's component only needs to meet those that are not
+    t_least = F.expr("greatest(1, CASE WHEN near THEN (h_least + h - most + 1) div 2 ELSE h - most END)")
+    prefix = written(ranked.where(F.col("rank") <= F.col("h") - t_least + 1).drop("h_least"), "join-prefixes")
+    side = lambda x, keys: prefix.select(*keys, *(F.col(c).alias(f"{c}_{x}") for c in ("doc", "component", "near", "n", "h", "rank", *folds)))
+    d = f"((n_a + n_b) * {100 - percent}) div {100 + percent}"
+    t = f"greatest(1, (h_a + h_b - {d} + 1) div 2)"
+    apart = " + ".join(f"bit_count({f}_a ^ {f}_b)" for f in folds)
+    far = side("a", ["root", "pos"]).join(side("b", ["root", "pos"]), ["root", "pos"]).where(
+        f"doc_a < doc_b AND component_a <> component_b AND NOT (near_a AND near_b) AND rank_a <= h_a - {t} + 1 AND rank_b <= h_b - {t} + 1 AND {apart} <= {d}")
+    probes = rows.where("not near and h <= most").select(
+        "root", F.col("doc").alias("doc_a"), F.col("component").alias("component_a"), F.explode(F.expr("sequence(0L, most - h)")).alias("h"))
+    close = probes.join(rows.where("h <= most").select("root", "h", F.col("doc").alias("doc_b"), F.col("component").alias("component_b")),
+                        ["root", "h"]).where("component_a <> component_b")
+    return far.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).unionByName(
+        close.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"))).distinct()
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id: documents linked at ``percent`` or more."""
@@ -331,12 +392,12 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         classes, ["key_a", "key_b", "n_shingles"]).where("doc_id <> rep").select("doc_id", "rep").distinct(), "join-twins")
     first = sets.join(twins, "doc_id", "left_anti")                # one row of each class, more if an id repeats
 
-    def reps(pairs: DataFrame) -> DataFrame:
+    def reps(pairs: DataFrame, within: bool = False) -> DataFrame:
         """Both ends replaced by their class; pairs within a class fall away."""
         a = twins.select(F.col("doc_id").alias("a"), F.col("rep").alias("rep_a"))
         b = twins.select(F.col("doc_id").alias("b"), F.col("rep").alias("rep_b"))
         return pairs.join(a, "a", "left").join(b, "b", "left").select(
-            F.coalesce("rep_a", "a").alias("a"), F.coalesce("rep_b", "b").alias("b")).where("a <> b").distinct()
+            F.coalesce("rep_a", "a").alias("a"), F.coalesce("rep_b", "b").alias("b")).where(F.lit(within) | (F.col("a") != F.col("b"))).distinct()
 
     buckets = written(_buckets(texts, shingle_words, percent), "join-buckets")
     stars = written(reps(buckets.where("doc <> centre").select(F.col("centre").alias("a"), F.col("doc").alias("b")).distinct()), "join-stars")
@@ -344,18 +405,16 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     twin_links = twins.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     labels = written(components(links.unionByName(twin_links)), "join-labels")
 
-    # buckets that are not one component yet: all pairs across components
-    def label(df: DataFrame, node: str, name: str) -> DataFrame:
-        return df.join(labels.select(F.col("node").alias(node), F.col("component").alias("_c")), node, "left").select(
-            *df.columns, F.coalesce("_c", node).alias(name))
+    # buckets that are not one component yet: pairs across components
     apart = buckets.where("doc <> centre").select("doc", "centre").distinct()
-    apart = label(label(apart, "doc", "c_doc"), "centre", "c_centre").where("c_doc <> c_centre").select("doc", "centre")
+    apart = _labelled(_labelled(apart, labels, "doc", "c_doc"), labels, "centre", "c_centre").where("c_doc <> c_centre").select("doc", "centre")
     open_keys = written(buckets.join(apart, ["doc", "centre"], "left_semi").select("key").distinct(), "join-open-keys")
-    open_rows = written(label(buckets.join(open_keys, "key", "left_semi").select("key", "doc"), "doc", "component"), "join-open")
-    left = open_rows.select("key", F.col("doc").alias("a"), F.col("component").alias("c_a"))
-    right = open_rows.select("key", F.col("doc").alias("b"), F.col("component").alias("c_b"))
-    across = reps(left.join(right, "key").where("c_a < c_b").select("a", "b").distinct())
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    open_rows = written(buckets.join(open_keys, "key", "left_semi").select("key", "doc"), "join-open")
+    roots = written(open_rows.groupBy("key").agg(F.min("doc").alias("a")), "join-roots")
+    members = reps(open_rows.join(roots, "key").select("a", F.col("doc").alias("b")).distinct(), within=True)
+    members = _labelled(_labelled(members, labels, "a", "c_a"), labels, "b", "c_b")
+    across = _across(written(members.select(F.col("a").alias("root"), F.col("b").alias("doc"), F.col("c_b").alias("component"),
+                                            (F.col("c_a") == F.col("c_b")).alias("near")), "join-members"), first, percent)
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = written(_possible(across.join(tried, ["a", "b"], "left_anti"), first, percent), "join-rest")
     if not rest.isEmpty():
