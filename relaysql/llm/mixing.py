@@ -34,7 +34,7 @@ from relaysql.llm.common import table, written
 PERIOD = 1000
 BLOCK_DOCS = 16
 ALPHA = 0.8
-BUCKET_DOCS = 20_000
+BUCKET_DOCS = 2_000
 SEED = 17
 
 
