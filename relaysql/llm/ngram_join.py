@@ -46,6 +46,7 @@ SLICE_BYTES = 8 << 20
 SLICE_ROWS = 2048                  # 11 bits beside 53 bits of hash
 SPARE = 0.15                       # spare blocks, as a share of D + 1
 SKETCH_WORDS = 16                  # 1024 bits
+LONG_SET = 512                     # larger sets also get a sketch as wide as they need
 BITMAP_BITS = 26
 SALTS = 64                         # groups of pairs with one centre
 
@@ -153,6 +154,28 @@ def bit_sketches(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 
 
+def wide_sketches(sets: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Sketches of sets beyond ``LONG_SET``, two to four bits per token; null for others.
+    The number of words is a power of two, and a wider one folds to a narrower one by
+    XOR of its halves, so sets of any two sizes can be compared."""
+    out = []
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        if b - a <= LONG_SET:
+            out.append(None)
+            continue
+        bits = 64 << int((b - a) // 32).bit_length()
+        at = (mix64(sets[a:b] ^ np.uint64(0x5BD1E995)) % np.uint64(bits)).astype(np.int64)
+        out.append(np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).view(np.int64))
+    return pa.array(out, pa.list_(pa.int64()))
+
+
+# the wider of two sketches folded to the narrower one's width, then their distance
+FOLD = ("CASE WHEN size({a}) > size({b}) THEN transform(sequence(0, size({b}) - 1), i -> aggregate("
+        "sequence(0, size({a}) div size({b}) - 1), 0L, (x, j) -> x ^ {a}[i + j * size({b})])) ELSE {a} END")
+WIDE = (f"coalesce(aggregate(zip_with({FOLD.format(a='wide_a', b='wide_b')}, {FOLD.format(a='wide_b', b='wide_a')}, (x, y) -> bit_count(x ^ y)), "
+        "0, (s, x) -> s + x), 0)")
+
+
 def _sets_table(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, n_shingles, the two keys of the set and its sketch, for every row."""
     def make(batches):
@@ -163,9 +186,9 @@ def _sets_table(docs: DataFrame, k: int) -> DataFrame:
                 sketch = bit_sketches(sets, bounds)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(np.diff(bounds)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
-                     *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_WORDS))],
-                    names=["doc_id", "n_shingles", "key_a", "key_b", *SKETCH])
-    schema = "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, " + ", ".join(f"{s} bigint" for s in SKETCH)
+                     *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_WORDS)), wide_sketches(sets, bounds)],
+                    names=["doc_id", "n_shingles", "key_a", "key_b", *SKETCH, "wide"])
+    schema = "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, " + ", ".join(f"{s} bigint" for s in SKETCH) + ", wide array<bigint>"
     return docs.mapInArrow(make, schema)
 
 
@@ -309,11 +332,12 @@ def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that sizes and Hamming distance of the sketches leave open."""
     def side(node: str) -> DataFrame:
         return sets.select(F.col("doc_id").alias(node), F.col("n_shingles").alias(f"n_{node}"),
-                           *(F.col(s).alias(f"{s}_{node}") for s in SKETCH))
+                           *(F.col(s).alias(f"{s}_{node}") for s in SKETCH), F.col("wide").alias(f"wide_{node}"))
     far = " + ".join(f"bit_count({s}_a ^ {s}_b)" for s in SKETCH)
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(
+    near = pairs.join(side("a"), "a").join(side("b"), "b").where(
         f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-        f" AND {100 + percent} * ({far}) <= {100 - percent} * (n_a + n_b)").select("a", "b")
+        f" AND {100 + percent} * ({far}) <= {100 - percent} * (n_a + n_b)")
+    return near.where(f"{100 + percent} * {WIDE} <= {100 - percent} * (n_a + n_b)").select("a", "b")
 
 
 def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
