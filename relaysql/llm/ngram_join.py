@@ -346,7 +346,7 @@ def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFra
         *df.columns, F.coalesce("_c", node).alias(name))
 
 
-def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _across(members: DataFrame, keyed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that can link, among the members (root, doc,
     component, near: in the root's component) of buckets with one smallest id.
 
@@ -354,7 +354,9 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     differ from the root's: the bits where they do are a small set with ``h`` elements.
     Two sets within the distance D share at least t = (h_a + h_b - D) / 2 of these, so
     with bits in order of rarity they share one of the first h_a - t + 1 and h_b - t + 1.
-    Where t is not positive, both stand so near the root that h tells them."""
+    Where t is not positive, both stand so near the root that h tells them. Members beyond
+    twice the largest D of theirs have little to do with the root: they are compared
+    within their buckets (``keyed``: key, root, doc). Their partners are as far, less D."""
     sketch = sets.groupBy("doc_id").agg(F.max(F.struct("n_shingles", *SKETCH)).alias("s"))
     sketch = written(sketch.select("doc_id", "s.*").join(
         members.select(F.col("doc").alias("doc_id")).unionByName(members.select(F.col("root").alias("doc_id"))).distinct(), "doc_id", "left_semi"),
@@ -378,7 +380,7 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     least = rows.where("not near").groupBy("root").agg(F.min("h").alias("h_least"))
     # narrow until the prefixes are cut: root, member, bit
-    rare = written(rows.mapInArrow(bits, "root bigint, doc bigint, pos bigint"), "join-bits")
+    rare = written(rows.where("h <= 2 * most").mapInArrow(bits, "root bigint, doc bigint, pos bigint"), "join-bits")
     order = Window.partitionBy("root", "doc").orderBy("often", "pos")                    # at most 1024 rows
     ranked = rare.join(rare.groupBy("root", "pos").agg(F.count("*").alias("often")), ["root", "pos"]).withColumn(
         "rank", F.row_number().over(order)).drop("often")
@@ -392,12 +394,17 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     apart = " + ".join(f"bit_count({f}_a ^ {f}_b)" for f in folds)
     far = side("a", ["root", "pos"]).join(side("b", ["root", "pos"]), ["root", "pos"]).where(
         f"doc_a < doc_b AND component_a <> component_b AND NOT (near_a AND near_b) AND rank_a <= h_a - {t} + 1 AND rank_b <= h_b - {t} + 1 AND {apart} <= {d}")
+    placed = written(keyed.join(rows.where("2 * h > most").drop(*SKETCH), ["root", "doc"]), "join-placed")
+    one = lambda x: placed.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("doc", "component", "n", "h", "most", *folds)))
+    beyond = one("a").where("h_a > 2 * most_a").join(one("b"), "key").where(
+        f"doc_a <> doc_b AND component_a <> component_b AND abs(h_a - h_b) <= {d} AND {apart} <= {d}")
+    beyond = beyond.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")).distinct()
     probes = rows.where("not near and h <= most").select(
         "root", F.col("doc").alias("doc_a"), F.col("component").alias("component_a"), F.explode(F.expr("sequence(0L, most - h)")).alias("h"))
     close = probes.join(rows.where("h <= most").select("root", "h", F.col("doc").alias("doc_b"), F.col("component").alias("component_b")),
                         ["root", "h"]).where("component_a <> component_b")
     return far.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).unionByName(
-        close.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"))).distinct()
+        close.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"))).unionByName(beyond).distinct()
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -437,8 +444,12 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     roots = written(open_rows.groupBy("key").agg(F.min("doc").alias("a")), "join-roots")
     members = reps(open_rows.join(roots, "key").select("a", F.col("doc").alias("b")).distinct(), within=True)
     members = _labelled(_labelled(members, labels, "a", "c_a"), labels, "b", "c_b")
+    class_ = twins.select(F.col("doc_id").alias("doc"), F.col("rep").alias("_doc"))
+    top = twins.select(F.col("doc_id").alias("root"), F.col("rep").alias("_root"))
+    keyed = open_rows.join(roots.withColumnRenamed("a", "root"), "key").join(class_, "doc", "left").join(top, "root", "left").select(
+        "key", F.coalesce("_root", "root").alias("root"), F.coalesce("_doc", "doc").alias("doc")).distinct()
     across = _across(written(members.select(F.col("a").alias("root"), F.col("b").alias("doc"), F.col("c_b").alias("component"),
-                                            (F.col("c_a") == F.col("c_b")).alias("near")), "join-members"), first, percent)
+                                            (F.col("c_a") == F.col("c_b")).alias("near")), "join-members"), keyed, first, percent)
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = written(_possible(across.join(tried, ["a", "b"], "left_anti"), first, percent), "join-rest")
     if not rest.isEmpty():
