@@ -38,18 +38,19 @@ MAX_REPEAT_PERCENT = 50
 COVERED = 0.75            # share of a group's rows that the determinant is minimised over
 C_STEPS = 3
 MIN_ROWS = 200            # fewer rows: the next coarser model
-TAIL = 1e-9               # chance that a row of the fitted normal law is rejected
+TAIL = 1e-3               # chance that a row of the fitted normal law is rejected
 REWEIGHT = 0.975
 BINS = 32                 # distance bins per unit of ln(d2)
 SCALE = 10000             # features are whole numbers of this fraction
 
-# name -> (SQL over the counts, least standard deviation that a model may have)
+# name -> (SQL over the counts, least standard deviation that a model may have: its
+# square is added to the variance, so that a source that never varies has a model)
 FEATURES = {
-    "f1": ("ln(n_words)", 1.0),
-    "f2": ("ln(cast(word_chars as double) / n_words)", 0.15),
-    "f3": ("ln(1 + 20 * cast(n_symbols as double) / n_words)", 0.35),
-    "f4": ("ln(1 + 100 * cast(n_dup_lines as double) / n_words)", 0.35),
-    "f5": ("cast(n_repeat_words as double) / n_words", 0.10),
+    "f1": ("ln(n_words)", 0.5),
+    "f2": ("ln(cast(word_chars as double) / n_words)", 0.08),
+    "f3": ("ln(1 + 20 * cast(n_symbols as double) / n_words)", 0.2),
+    "f4": ("ln(1 + 100 * cast(n_dup_lines as double) / n_words)", 0.25),
+    "f5": ("cast(n_repeat_words as double) / n_words", 0.08),
 }
 P = len(FEATURES)
 NAMES = list(FEATURES)

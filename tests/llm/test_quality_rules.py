@@ -93,6 +93,17 @@ def test_small_groups_use_coarser_models_and_nulls_are_a_group(spark):
     assert all(got[5000 + i] == [True] for i in range(3))
 
 
+def test_clear_cases_fall_on_one_feature(spark):
+    far = [(300, 1500, 60, 0, 0), (300, 1500, 0, 12, 0), (300, 1500, 0, 0, 120), (4500, 22500, 0, 0, 0), (300, 2300, 0, 0, 0)]
+    near = [(300, 1500, 2, 0, 0), (300, 1500, 0, 1, 0), (300, 1500, 0, 0, 40), (900, 4500, 0, 0, 0), (300, 1700, 0, 0, 0)]
+    rows = [(i, "en", "plain", 300, 1500, 0, 0, 0, False) for i in range(400)]
+    rows += [(1000 + i, "en", "plain", *x, False) for i, x in enumerate(far)]
+    rows += [(2000 + i, "en", "plain", *x, False) for i, x in enumerate(near)]
+    stats = spark.createDataFrame(rows, SCHEMA)
+    got = q.judge(stats, q.fit_outlier_models(stats)).where("not kept").collect()
+    assert sorted(r.doc_id for r in got) == [1000 + i for i in range(len(far))]
+
+
 @pytest.mark.parametrize("n", [0, 5])
 def test_few_rows_are_never_rejected_by_distance(spark, n):
     stats = spark.createDataFrame(made(n), SCHEMA)
