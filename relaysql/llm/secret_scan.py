@@ -5,9 +5,13 @@ method then looks at maximal runs of base64-like characters: strings made of
 words compress well under a byte-pair vocabulary, random ones hardly at all, so a
 run of ``MIN_RUN`` characters or more with fewer than ``MAX_RATIO`` characters per
 token is a span of kind ``random``. Known digests (hex of the usual lengths,
-UUIDs) and identifiers (paths, snake_case, kebab-case and camelCase made of
-words and short numbers) are left out, and so is a run that touches a base span:
-base spans always stay.
+UUIDs) and identifiers (paths, snake_case, kebab-case and camelCase made of words
+and short numbers) are left out, and so is a run that touches a base span: base
+spans always stay. The shape of an identifier is not enough: each of its pieces of
+``MIN_WORD`` letters or more must be a word, that is, encode to one token for every
+``LETTERS_A_TOKEN`` letters at most, and such words must be a third of what it says
+(each piece counted once, dates aside); shorter pieces and numbers say nothing
+either way.
 
 Texts are scanned whole, in bounded slices of a batch; a vectorised search first
 picks the texts that can match at all. Null texts are empty; repeated rows are
@@ -29,6 +33,8 @@ from relaysql.session import ship_package
 
 MIN_RUN = 20
 MAX_RATIO = 2.0
+MIN_WORD = 3
+LETTERS_A_TOKEN = 3
 SLICE_BYTES = 8 << 20
 
 # The base patterns, each with what a match must also meet.
@@ -43,6 +49,8 @@ RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_RUN},}}")
 DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})\Z")
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 WORDS = re.compile(r"(?:(?:[A-Z]?[a-z]+|[A-Z]{2,}|\d{1,4})(?:[-_/=+]+|(?=[A-Z])|\Z|(?=\d{1,4}(?:[-_/=+]|\Z))))+\Z")
+PIECE = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
+DATE = re.compile(r"(?<!\d)(?:19|20)\d\d([-_/])(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])(?!\d)")
 
 # what a text must hold to have any span of a kind
 MAYBE = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]|[0-9a-f]{16}"""
@@ -66,10 +74,27 @@ def encoder(path: str, pattern: str):
     return _ENCODERS[path]
 
 
-def is_known(run: str) -> bool:
+def is_word(piece: str, encode) -> bool:
+    few = max(1, len(piece) // LETTERS_A_TOKEN)
+    return any(len(encode(x)) <= few for x in dict.fromkeys((piece, " " + piece, piece.lower(), " " + piece.lower())))
+
+
+def made_of_words(body: str, encode) -> bool:
+    """Of the shape of an identifier, and its pieces are words."""
+    if not WORDS.match(body):
+        return False
+    pieces = set(PIECE.findall(DATE.sub("", body)))
+    said = sum(map(len, pieces))
+    if 2 * said < MIN_RUN:                               # the same few pieces again and again, or dates
+        return True
+    words = [p for p in pieces if len(p) >= MIN_WORD and p.isalpha()]
+    return 3 * sum(map(len, words)) >= said and all(is_word(p, encode) for p in words)
+
+
+def is_known(run: str, encode) -> bool:
     """A digest or an identifier made of words."""
     body = run.strip("=-_/+")
-    return bool(DIGEST.match(body) or UUID.match(body) or WORDS.match(body)) or body.isdigit()
+    return bool(DIGEST.match(body) or UUID.match(body)) or body.isdigit() or made_of_words(body, encode)
 
 
 def spans_of(text: str, encode) -> list[tuple[int, int, int]]:
@@ -83,9 +108,9 @@ def spans_of(text: str, encode) -> list[tuple[int, int, int]]:
         a, b = m.span()
         while k < len(base) and base[k][1] <= a:
             k += 1
-        if any(x < b and y > a for x, y in base[max(0, k - 2):k + 3]) or is_known(m[0]):
+        if any(x < b and y > a for x, y in base[max(0, k - 2):k + 3]):
             continue
-        if b - a < MAX_RATIO * len(encode(m[0])):
+        if b - a < MAX_RATIO * len(encode(m[0])) and not is_known(m[0], encode):
             found.append((a, 3, b))
     return sorted(found)
 
