@@ -74,6 +74,55 @@ def test_slot_counts_for_odd_weights(spark):
         m.slot_counts(counts, given, 2).collect()
 
 
+def test_slots_are_the_weights_within_one_slot(spark):
+    w = {f"s{i}": 1.0 + i * i for i in range(40)}
+    counts = spark.createDataFrame([(k, 5) for k in w], "source_key string, n bigint")
+    got = {r.source_key: r.w for r in m.slot_counts(counts, spark.createDataFrame(list(w.items()), "source_key string, weight double")).collect()}
+    exact = {k: 1000 * v / sum(w.values()) for k, v in w.items()}
+    assert all(abs(got[k] - exact[k]) < 1.05 for k in w) and sum(got.values()) == 1000
+
+
+def test_more_sources_than_slots_follow_the_weights(spark):
+    small = 1100                                                   # over PERIOD; a third of all rows in one source
+    sizes = {"hot": 1650, **{f"c{i}": 2 + i % 3 for i in range(small)}}
+    key = lambda k: "s" + k
+    weight = {key(k): n ** m.ALPHA for k, n in sizes.items()}
+    total = sum(weight.values())
+    rows = m.schedule(docs(spark, sizes), block_docs=1).collect()
+    assert {r.slot for r in rows} == set(range(max(r.slot for r in rows) + 1)) and len({r.slot for r in rows}) == len(rows)
+    assert all(r.release <= r.slot < r.deadline for r in rows)
+    used = defaultdict(Counter)
+    for r in rows:
+        used[r.source_key][r.place] += 1
+        assert r.block == r.epoch * sizes[r.source_key[1:]] + r.place
+    for k, n in sizes.items():
+        assert sorted(used[key(k)]) == list(range(n)) and max(used[key(k)].values()) - min(used[key(k)].values()) <= 1
+    count = {k: sum(c.values()) for k, c in used.items()}
+    share = {k: v / total for k, v in weight.items()}
+    assert abs(count["shot"] / len(rows) - share["shot"]) < 0.002
+    off = [abs(count[k] - len(rows) * share[k]) / (2 + 0.2 * len(rows) * share[k]) for k in share]
+    assert max(off) < 1                                            # two levels: two blocks, and the slots' rounding
+
+
+def test_tiny_sources_share_a_slot(spark):
+    w = {"big": 1.0, "b": 0.2, **{f"t{i}": 1e-6 * 7.0 ** (i % 3) for i in range(90)}}
+    sizes = {"big": 300, "b": 60, **{f"t{i}": 1 for i in range(90)}}
+    counts = spark.createDataFrame([("s" + k, n) for k, n in sizes.items()], "source_key string, n bigint")
+    tree = m.levels(counts, weights(spark, w))
+    root = {r.source_key: r.w for r in tree[-1][0].collect()}
+    assert len(tree) > 1 and abs(root["sbig"] - 1000 / 1.2) < 3 and abs(root["sb"] - 200 / 1.2) < 3
+    sums = Counter()
+    for level, period in tree:
+        per = Counter()
+        for r in level.collect():
+            per[r.g] += r.w
+        assert set(per.values()) == {period}
+        sums.update(per.keys())
+    assert max(sums.values()) == 1
+    only = m.levels(counts, weights(spark, {"none": 1.0}))          # no weight at all
+    assert sum(r.w for r in only[-1][0].collect()) == 1000
+
+
 def test_documents_come_in_the_order_of_the_schedule(spark):
     table = docs(spark, {"a": 30, "b": 10})
     out = m.mixed_documents(table, weights=weights(spark, {"a": 1, "b": 1}), block_docs=2, period=10)
