@@ -10,7 +10,13 @@ statistics and Bloom filters without decoding ids (``read_documents``).
 Encoding works on distinct chunks: texts are cut where the vocabulary's own
 splitting rule is certain to cut (ASCII white space; between an ASCII letter and
 another ASCII character, apostrophes aside), distinct chunks are encoded once and
-ids are put together with array operations. Cutting there never changes ids.
+ids are put together with array operations. Cutting there never changes ids under the
+normaliser and splitting rule of the default vocabulary (``CUT_RULES``); a vocabulary
+file with any other rule, or with added tokens that are not special, gets its texts
+encoded whole.
+
+Strings of special tokens in a text are ordinary text (``encode_special_tokens``, as
+the vocabularies' own README has it): no document can write an end id into its row.
 
 ``read_token_files`` reads everything back and adds each document's ``start``, the
 number of ids before it: a running count within each file is stored with the
@@ -23,6 +29,7 @@ empty table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -53,6 +60,25 @@ _OPENS = _OTHER.copy()               # may end a chunk before a letter
 _OPENS[ord("'")] = False
 
 
+# The rules under which ``chunks`` and lower-casing ahead are exact.
+CUT_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+
+
+def can_cut(path: str) -> bool:
+    """The vocabulary file's rules are those that the cuts were made for."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)
+    return (all(found[k] == v for k, v in CUT_RULES.items()) and found["model"]["type"] == "BPE"
+            and not found["model"].get("dropout") and not found.get("truncation") and not found.get("padding")
+            and all(x["special"] for x in found["added_tokens"]))
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
@@ -88,6 +114,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
+        self.cuts = can_cut(path)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.closes = None                               # by id: it ends a word
         if suffix:
@@ -141,6 +168,10 @@ class ChunkEncoder:
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column of texts, and how many each text has."""
+        if not self.cuts:
+            each = self.tokenizer.encode_batch_fast(column.fill_null("").to_pylist(), add_special_tokens=False)
+            ids = [np.array(e.ids, np.int32) for e in each]
+            return np.concatenate([np.zeros(0, np.int32), *ids]), np.array([len(x) for x in ids], np.int64)
         found, per_text = chunks(*flat_bytes(column))
         coded = found.dictionary_encode()
         words = coded.dictionary.to_pylist()

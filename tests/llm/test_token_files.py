@@ -39,6 +39,28 @@ def test_chunked_ids_equal_whole_text_ids(expected):
     assert again == expected[::-1][3:]
 
 
+def test_other_vocabularies_are_not_cut_by_this_ones_rule(tmp_path):
+    import json
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    k = Tokenizer.from_file(path)
+    k.encode_special_tokens = True
+    texts = [None, "Two  Words", "end of file <|endoftext|> next", *TEXTS[-50:]]
+    assert t.encode_column(pa.array(texts, pa.string()), path, 2).to_pylist() == [k.encode(x or "", add_special_tokens=False).ids + [2] for x in texts]
+    changed = json.load(open(t.default_vocabulary()))
+    changed["normalizer"]["normalizers"].pop()                     # keeps upper case
+    (tmp_path / "v.json").write_text(json.dumps(changed))
+    k = Tokenizer.from_file(str(tmp_path / "v.json"))
+    assert t.encode_column(pa.array(["The END", "a"]), str(tmp_path / "v.json"), 2).to_pylist() == [
+        k.encode(x).ids + [2] for x in ("The END", "a")]
+    assert t.can_cut(t.default_vocabulary())
+
+
+def test_special_token_strings_never_become_control_ids():
+    ids = t.encode_column(pa.array(["end of file <|endoftext|> next <|startoftext|>"]), t.default_vocabulary(), 2).to_pylist()[0]
+    assert ids[:10] == [806, 539, 4512, 27, 347, 40786, 4160, 91, 285, 1131] and not {49406, 49407} & set(ids)
+
+
 def test_cache_is_bounded(expected, monkeypatch):
     monkeypatch.setattr(t, "CACHE_CHUNKS", 10)
     encoder = t.ChunkEncoder(t.default_vocabulary())
