@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from relaysql.functions import library
 from relaysql.functions.registry import register_function, register_functions
-from relaysql.operators.decode import Decoder
+from relaysql.operators.decode import decoder_for
 from relaysql.operators.shape import encode_json, shape
 from relaysql.session import job_session
 from relaysql.spec import JobSpec
@@ -63,7 +63,6 @@ class SqlJob:
         self.extra_functions = dict(extra_functions or {})
         self.reference_views = dict(reference_views or {})
         self.rebalance = rebalance
-        self._decoder: Decoder | None = None
 
     def open(self, spark: SparkSession) -> SparkSession:
         """A session for this job with its functions and reference views registered."""
@@ -88,9 +87,7 @@ class SqlJob:
         """
         if self.rebalance:
             messages = spread(messages, None if self.rebalance is True else int(self.rebalance))
-        if self._decoder is None:
-            self._decoder = Decoder(self.spec.input_fields, self.spec.on_bad_record)
-        decoded = self._decoder(messages, value_col)
+        decoded = decoder_for(messages.sparkSession, self.spec.input_fields, self.spec.on_bad_record)(messages, value_col)
         decoded.rows.createOrReplaceTempView(SOURCE_VIEW)
         result = messages.sparkSession.sql(self.spec.sql)
         shaped = shape(result, self.spec.output_fields) if self.spec.output_fields else result

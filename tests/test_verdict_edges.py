@@ -199,3 +199,45 @@ def test_text_source_has_one_column(spark):
     out = shared_path(spark, "one-column")
     text_sink(out).write(spark.createDataFrame([("a",)], "value string"), batch_id=0, run="r")
     assert text_source(out).read(spark).columns == ["value"]
+
+
+NINES = "9" * 41
+
+
+@pytest.mark.parametrize("field,given,want", [
+    ("l", "9007199254740993e0", 9007199254740993),
+    ("l", "9007199254740993.0", 9007199254740993),
+    ("l", "12345678901234567.8e1", 123456789012345678),
+    ("l", "9223372036854775807.9999", 9223372036854775807),
+    ("i", "0." + NINES, 0),
+    ("i", "-0." + NINES, 0),
+    ("i", "2147483647." + NINES, 2147483647),
+    ("i", "1e-400000000", 0),
+    ("i", "-0.0", 0),
+    ("a", f'[0.{NINES},2.0,"1,0",null,1e2,9e-1]', [0, 2, 10, 0, 100, 0]),
+    ("i", "1e400000000", None), ("i", "2147483648.0", None), ("l", "9223372036854775808.0", None),
+    ("i", '{"z":1}', None), ("i", "NaN", None), ("a", "[1,2147483648e0]", None),
+])
+def test_integers_keep_the_digits_of_the_message(spark, field, given, want):
+    from relaysql.operators.decode import decode
+    from relaysql.operators.schema import parse_schema_spec
+
+    fields = parse_schema_spec('{"i":"int","l":"long","a":"array<int>","s":"string","d":"double"}')
+    values = {"i": "1", "l": "1", "a": "[]", "s": '"x, [7.0 \\" 1234567890123456789.0"', "d": "0.1234567890123456789"}
+    for extra in ({}, {"d": '"1,000.5"'}):            # the typed parse fits, or does not
+        text = "{" + ",".join(f'"{k}":{v}' for k, v in {**values, field: given, **extra}.items()) + "}"
+        out = decode(spark.createDataFrame([(text,)], "value string"), fields, "quarantine")
+        if want is None:
+            assert [r.reason for r in out.rejected.collect()] == [f"coercion:{field}"]
+        else:
+            row = out.rows.collect()[0]
+            assert row[field] == want and row.s == 'x, [7.0 " 1234567890123456789.0'
+
+
+def test_a_long_message_with_long_digits(spark):
+    from relaysql.operators.decode import decode
+    from relaysql.operators.schema import parse_schema_spec
+
+    text = json.dumps({"s": 'x\\"y\', 1[:2' * 200_000})[:-1] + ',"l":9007199254740993e0}'
+    fields = parse_schema_spec('{"l":"long"}')
+    assert decode(spark.createDataFrame([(text,)], "value string"), fields).rows.collect()[0].l == 9007199254740993
