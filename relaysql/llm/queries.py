@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from relaysql.llm import (decontaminate, mixing, ngram_join, quality_rules, secret_scan, suffix_dedup, token_files, tool_calls,
+from relaysql.llm import (decontaminate, hard_negatives, mixing, ngram_join, quality_rules, secret_scan, suffix_dedup, token_files, tool_calls,
                           url_filter, warc_archive)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_warc_archive": warc_archive.op9_warc_archive,
     "op10_secret_scan": secret_scan.op10_secret_scan,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -26,4 +27,5 @@ ORACLES = {
     "op6_tool_calls": tool_calls.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
     "op9_warc_archive": warc_archive.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
 }
