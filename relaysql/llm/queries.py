@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from relaysql.llm import (decontaminate, hard_negatives, mixing, ngram_join, quality_rules, secret_scan, suffix_dedup, token_files, tool_calls,
-                          url_filter, warc_archive)
+from relaysql.llm import (decontaminate, fingerprints, hard_negatives, mixing, ngram_join, quality_rules, secret_scan, suffix_dedup,
+                          token_files, tool_calls, url_filter, warc_archive)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_warc_archive": warc_archive.op9_warc_archive,
     "op10_secret_scan": secret_scan.op10_secret_scan,
     "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_fingerprints": fingerprints.op12_fingerprints,
     "pipeline": corpus_pipeline.run,
 }
 
