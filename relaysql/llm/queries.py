@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from relaysql.llm import (decontaminate, fingerprints, hard_negatives, mixing, ngram_join, quality_rules, secret_scan, suffix_dedup,
-                          token_files, tool_calls, url_filter, warc_archive)
+from relaysql.llm import (decontaminate, fingerprints, hard_negatives, mixing, ngram_join, quality_rules, secret_scan,
+                          spelling_variants, suffix_dedup, token_files, tool_calls, url_filter, warc_archive)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -19,6 +19,7 @@ QUERIES = {
     "op10_secret_scan": secret_scan.op10_secret_scan,
     "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_fingerprints": fingerprints.op12_fingerprints,
+    "op13_spelling_variants": spelling_variants.op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
 
