@@ -47,14 +47,15 @@ DOUBLINGS = 5                      # 2^5 forms: more than a 64-bit count can gro
 MOST_HELD = 200_000                # distinct words a task holds before it hands them on
 
 # Words are runs of these letters, A-Z lower-cased; every 31st is misspelt.
-RUN = re.compile("[A-Za-zÀ-ÿ]+")
-LOWER = {c: c + 32 for c in range(65, 91)}
+LETTER = "[A-Za-zÀ-ÿ]"
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SPOIL_EVERY = 31
 SHORTEST, LEAST_COUNT = 7, 2
 
 
-def runs(text: str) -> Counter:
-    return Counter(r.translate(LOWER) for r in RUN.findall(text))
+def runs(text: bytes, shortest: int = 1) -> Counter:
+    """The lower-cased runs of a UTF-8 text that have at least ``shortest`` letters."""
+    return Counter(re.findall(f"{LETTER}{{{shortest},}}", text.translate(LOWER).decode()))
 
 
 def misspelt(doc_id: int | None, run: str) -> str:
@@ -82,13 +83,12 @@ def word_counts(docs: DataFrame, change: Callable[[int | None, str], str] = _as_
             return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
                 text = text.as_py()
-                for run, n in runs(text).items() if text else ():
-                    if len(run) >= shortest:
-                        word = change(doc_id, run)
-                        if len(word) >= shortest:
-                            held[word] += n
+                for run, n in runs(text, shortest).items() if text else ():
+                    word = change(doc_id, run)
+                    if len(word) >= shortest:
+                        held[word] += n
                 if len(held) > MOST_HELD:
                     yield out()
                     held.clear()
