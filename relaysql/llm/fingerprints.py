@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaysql.llm.common import mix64, table, written
+from relaysql.llm.common import mix64, table
 from relaysql.session import ship_package
 
 WINDOW = 32                        # bytes that decide a cut
@@ -234,4 +234,4 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
 
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``documents``."""
-    return written(compare_with_edits(table(spark, sf_dir, "documents")), "fingerprints")
+    return compare_with_edits(table(spark, sf_dir, "documents"))
