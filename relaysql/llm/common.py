@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from relaysql.session import shared_path
@@ -18,7 +19,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     and survives the loss of any executor."""
     path = shared_path(df.sparkSession, "llm", name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables made by ``written`` that nothing will read again."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -88,9 +99,8 @@ def bounded_blocks(df: DataFrame, size: str, key: str, limit: int):
         yield list(part.toLocalIterator())
 
 
-_BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+_BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_HASH_BYTES = 4 << 20
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -101,21 +111,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def word_hashes(found: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each entry of a binary array: a polynomial over mixed bytes,
-    from running sums, in portions of bounded size."""
-    data, offsets = flat_bytes(found)
-    code = mix64(np.arange(1, 257, dtype=np.uint64))
-    out = np.empty(len(offsets) - 1, np.uint64)
-    a, n = 0, len(out)
-    up = down = np.zeros(0, np.uint64)
-    while a < n:
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + _HASH_BYTES, side="right")) - 1)
-        b = min(b, n)
-        at = offsets[a:b + 1] - offsets[a]
-        size = int(at[-1])
-        if len(up) < size + 1:
-            up, down = _powers(_BASE, size + 1), _powers(_INVERSE, size + 1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code[data[offsets[a]:offsets[b]]] * up[:size])])
-        out[a:b] = (sums[at[1:]] - sums[at[:-1]]) * down[at[:-1]]
-        a = b
-    return mix64(out)
+    """A 64-bit hash of each entry of a binary array; each distinct word is hashed once."""
+    coded = found.dictionary_encode()
+    own = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    return mix64(own[coded.indices.to_numpy()]) if len(found) else np.zeros(0, np.uint64)

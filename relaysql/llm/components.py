@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relaysql.llm.common import written
+from relaysql.llm.common import release, written
 
 MAX_ROUNDS = 60        # distances halve each round: far beyond what any table needs
 
@@ -27,6 +27,7 @@ def components(links: DataFrame) -> DataFrame:
         low = written(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         new = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
+        release(edges, least, large, low)
         edges = new
         # done when every node points at one node, and none points at a node that points on
         ends = new.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(new.select(F.col("v").alias("node"), F.lit(0).alias("up")))

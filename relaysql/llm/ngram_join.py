@@ -15,9 +15,10 @@ sizes a and b reach the similarity p only if their symmetric difference is at mo
   distance never exceeds the symmetric difference, so a pair beyond D is dropped
   safely. The rest is verified on whole texts.
 * A bucket whose members then lie in one component is done: nothing it holds could
-  merge anything. In the others pairs across components are looked for, by the bits
-  in which members' sketches differ from the bucket's smallest id (``_across``). No
-  link between different texts is lost.
+  merge anything. In the others all pairs across components are compared by their
+  sketches (``_across``), within tiles of bounded size and without listing them: only
+  pairs within the Hamming bound come out, and are verified. No link between different
+  texts is lost.
 
 Equal sets form classes first and are never compared. Each slice of texts hands on
 a bucket once, with its smallest id, and lists its other members aside, so a
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from relaysql.llm.common import LOWER, flat_bytes, mix64, slices, table, word_hashes, words, written
+from relaysql.llm.common import LOWER, flat_bytes, mix64, release, slices, table, word_hashes, words, written
 from relaysql.llm.components import components
 from relaysql.session import ship_package
 
@@ -48,6 +49,7 @@ SPARE = 0.15                       # spare blocks, as a share of D + 1
 SKETCH_WORDS = 16                  # 1024 bits
 LONG_SET = 512                     # larger sets also get a sketch as wide as they need
 BITMAP_BITS = 26
+TILE = 2048                        # members that meet in one task
 SALTS = 64                         # groups of pairs with one centre
 
 # Words are [^\x20\x09-\x0D]+ of lower-cased text.
@@ -325,7 +327,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
                 if good:
                     yield part.select(["a", "b"]).take(pa.array(good))
 
-    return rows.mapInArrow(compare, "a bigint, b bigint")
+    found = written(rows.mapInArrow(compare, "a bigint, b bigint"), "join-links")
+    release(texts)
+    return found
 
 
 def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -346,65 +350,76 @@ def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFra
         *df.columns, F.coalesce("_c", node).alias(name))
 
 
-def _across(members: DataFrame, keyed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that can link, among the members (root, doc,
-    component, near: in the root's component) of buckets with one smallest id.
-
-    Sets of one bucket are much alike, so what tells them apart is how their sketches
-    differ from the root's: the bits where they do are a small set with ``h`` elements.
-    Two sets within the distance D share at least t = (h_a + h_b - D) / 2 of these, so
-    with bits in order of rarity they share one of the first h_a - t + 1 and h_b - t + 1.
-    Where t is not positive, both stand so near the root that h tells them. Members beyond
-    twice the largest D of theirs have little to do with the root: they are compared
-    within their buckets (``keyed``: key, root, doc). Their partners are as far, less D."""
-    sketch = sets.groupBy("doc_id").agg(F.max(F.struct("n_shingles", *SKETCH)).alias("s"))
-    sketch = written(sketch.select("doc_id", "s.*").join(
-        members.select(F.col("doc").alias("doc_id")).unionByName(members.select(F.col("root").alias("doc_id"))).distinct(), "doc_id", "left_semi"),
-        "join-sketches")
-    own = sketch.withColumnRenamed("doc_id", "doc").withColumnRenamed("n_shingles", "n")
-    root = sketch.select(F.col("doc_id").alias("root"), *(F.col(s).alias(f"{s}_r") for s in SKETCH))
-    rows = members.join(own, "doc").join(root, "root").select(
-        "root", "doc", "component", "near", "n", *((F.col(s).bitwiseXOR(F.col(f"{s}_r"))).alias(s) for s in SKETCH))
-    most = f"((n + (n * 100) div {percent}) * {100 - percent}) div {100 + percent}"      # D with the largest partner
-    # folded differences: a quarter as wide, and their distance is still a lower bound
-    folds = [f"f{i}" for i in range(SKETCH_WORDS // 4)]
-    rows = written(rows.withColumn("h", F.expr(" + ".join(f"bit_count({s})" for s in SKETCH)).cast("bigint")).withColumn(
-        "most", F.expr(most)).withColumns({f: F.expr(" ^ ".join(SKETCH[i::len(folds)])) for i, f in enumerate(folds)}), "join-differences")
-
-    def bits(batches):
+def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that sizes and sketches leave open, among
+    the ``members`` (key, doc, component) of the buckets.
+
+    Equal buckets count once. A bucket is cut in tiles: a component with ``TILE`` members
+    or more has tiles of its own, the others share tiles; pairs of tiles are units, but
+    not those of one component. A unit's members lie in one task as rows of sketches,
+    which are compared there; only pairs within the Hamming bound come out."""
+    sketch = sets.groupBy("doc_id").agg(F.max(F.struct("n_shingles", *SKETCH)).alias("s")).select("doc_id", "s.*")
+    alike = members.groupBy("key").agg(F.count("*").alias("m"), F.expr("bit_xor(xxhash64(doc))").alias("x"), F.expr("bit_xor(xxhash64(doc, 7))").alias("y"),
+                                       F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d")
+    members = members.join(alike.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key"), "key")
+    heaps = members.groupBy("key", "component").agg(F.count("*").alias("m"))
+    heaps = heaps.withColumn("own", F.when(F.col("m") >= TILE, F.col("component")))
+    # a tile: its component (null: shared) and number; a row per bucket, not per member
+    tiles = heaps.groupBy("key", "own").agg(F.ceil(F.sum("m") / TILE).cast("int").alias("n"))
+    listed = tiles.groupBy("key").agg(F.flatten(F.collect_list(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.struct(
+        F.coalesce("own", F.lit(-1)).alias("c"), F.col("own").isNull().alias("shared"), i.alias("i"))))).alias("tiles"))
+    dealt = heaps.alias("h").join(tiles.alias("t"), F.expr("h.key = t.key AND h.own <=> t.own")).select(
+        "h.key", "h.component", "h.own", F.col("t.n").alias("dealt"))
+    placed = members.join(dealt, ["key", "component"])
+    placed = placed.join(listed, "key").join(sketch.withColumnRenamed("doc_id", "doc"), "doc")
+    # members of a shared tile are dealt by component, so that equal ones meet in one tile
+    at = F.struct(F.coalesce("own", F.lit(-1)).alias("c"), F.col("own").isNull().alias("shared"),
+                  F.expr("cast(pmod(CASE WHEN own IS NULL THEN xxhash64(component) ELSE xxhash64(doc) END, dealt) as int)").alias("i"))
+    placed = placed.withColumn("at", at)
+    partners = F.filter("tiles", lambda t: F.col("at.shared") | t["shared"] | (t["c"] != F.col("at.c")))
+    units = F.transform(partners, lambda t: F.struct(F.least(t, F.col("at")).alias("ta"), F.greatest(t, F.col("at")).alias("tb"), (t < F.col("at")).alias("second")))
+    unit = ["key", "ta", "tb"]
+    rows = placed.select("key", "doc", "component", F.col("n_shingles").alias("n"), *SKETCH, F.inline(units)).withColumn("split", F.expr("ta <> tb"))
+    rows = rows.repartition(*unit).sortWithinPartitions(*unit).select(
+        F.xxhash64(*unit).alias("unit"), "doc", "component", "n", "second", "split", *SKETCH)
+
+    def pairs(rows_: pa.Table):
+        unit_, doc, component, n, second, split = (rows_.column(c).to_numpy() for c in ("unit", "doc", "component", "n", "second", "split"))
+        words_ = np.stack([rows_.column(c).to_numpy() for c in SKETCH], axis=1).view(np.uint64)
+        last = np.append(unit_[1:] != unit_[:-1], True)
+        ends = np.flatnonzero(last) + 1
+        end = np.repeat(ends, np.diff(np.append(0, ends)))       # where each row's unit ends
+        live, d = np.arange(len(unit_)), 0
+        while True:
+            d += 1
+            live = live[live + d < end[live]]
+            if not len(live):
+                return
+            j = live + d
+            ok = (component[live] != component[j]) & (~split[live] | (second[live] != second[j]))
+            ok &= 100 * np.minimum(n[live], n[j]) >= percent * np.maximum(n[live], n[j])
+            for x, y in ((live[ok][k:k + SLICE_ROWS * 16], j[ok][k:k + SLICE_ROWS * 16]) for k in range(0, int(ok.sum()), SLICE_ROWS * 16)):
+                apart = np.bitwise_count(words_[x] ^ words_[y]).sum(axis=1, dtype=np.int64)
+                near = (100 + percent) * apart <= (100 - percent) * (n[x] + n[y])
+                if near.any():
+                    a, b = doc[x[near]], doc[y[near]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    def compare(batches):
+        held = pa.table({})
         for batch in batches:
-            words_ = np.stack([batch.column(s).to_numpy() for s in SKETCH], axis=1).astype("<i8") if len(batch) else np.zeros((0, SKETCH_WORDS), "<i8")
-            at, pos = np.nonzero(np.unpackbits(np.ascontiguousarray(words_).view(np.uint8), axis=1))
-            part = batch.select(["root", "doc"]).take(pa.array(at))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pos)], names=[*part.schema.names, "pos"])
-
-    least = rows.where("not near").groupBy("root").agg(F.min("h").alias("h_least"))
-    # narrow until the prefixes are cut: root, member, bit
-    rare = written(rows.where("h <= 2 * most").mapInArrow(bits, "root bigint, doc bigint, pos bigint"), "join-bits")
-    order = Window.partitionBy("root", "doc").orderBy("often", "pos")                    # at most 1024 rows
-    ranked = rare.join(rare.groupBy("root", "pos").agg(F.count("*").alias("often")), ["root", "pos"]).withColumn(
-        "rank", F.row_number().over(order)).drop("often")
-    ranked = ranked.join(rows.drop(*SKETCH).join(least, "root"), ["root", "doc"])
-    # a member of the root's component only needs to meet those that are not
-    t_least = F.expr("greatest(1, CASE WHEN near THEN (h_least + h - most + 1) div 2 ELSE h - most END)")
-    prefix = written(ranked.where(F.col("rank") <= F.col("h") - t_least + 1).drop("h_least"), "join-prefixes")
-    side = lambda x, keys: prefix.select(*keys, *(F.col(c).alias(f"{c}_{x}") for c in ("doc", "component", "near", "n", "h", "rank", *folds)))
-    d = f"((n_a + n_b) * {100 - percent}) div {100 + percent}"
-    t = f"greatest(1, (h_a + h_b - {d} + 1) div 2)"
-    apart = " + ".join(f"bit_count({f}_a ^ {f}_b)" for f in folds)
-    far = side("a", ["root", "pos"]).join(side("b", ["root", "pos"]), ["root", "pos"]).where(
-        f"doc_a < doc_b AND component_a <> component_b AND NOT (near_a AND near_b) AND rank_a <= h_a - {t} + 1 AND rank_b <= h_b - {t} + 1 AND {apart} <= {d}")
-    placed = written(keyed.join(rows.where("2 * h > most").drop(*SKETCH), ["root", "doc"]), "join-placed")
-    one = lambda x: placed.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("doc", "component", "n", "h", "most", *folds)))
-    beyond = one("a").where("h_a > 2 * most_a").join(one("b"), "key").where(
-        f"doc_a <> doc_b AND component_a <> component_b AND abs(h_a - h_b) <= {d} AND {apart} <= {d}")
-    beyond = beyond.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")).distinct()
-    probes = rows.where("not near and h <= most").select(
-        "root", F.col("doc").alias("doc_a"), F.col("component").alias("component_a"), F.explode(F.expr("sequence(0L, most - h)")).alias("h"))
-    close = probes.join(rows.where("h <= most").select("root", "h", F.col("doc").alias("doc_b"), F.col("component").alias("component_b")),
-                        ["root", "h"]).where("component_a <> component_b")
-    return far.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).unionByName(
-        close.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"))).unionByName(beyond).distinct()
+            held = pa.concat_tables([held, pa.Table.from_batches([batch])]) if len(held) else pa.Table.from_batches([batch])
+            if len(held) < 4 * TILE:
+                continue
+            unit_ = held.column("unit").to_numpy()
+            whole = np.flatnonzero(unit_ != unit_[-1])          # the last unit may go on
+            if len(whole):
+                yield from pairs(held.slice(0, whole[-1] + 1))
+                held = held.slice(whole[-1] + 1).combine_chunks()
+        if len(held):
+            yield from pairs(held)
+
+    return rows.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -432,7 +447,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     buckets = written(_buckets(texts, shingle_words, percent), "join-buckets")
     stars = written(reps(buckets.where("doc <> centre").select(F.col("centre").alias("a"), F.col("doc").alias("b")).distinct()), "join-stars")
-    links = written(_verified(texts, written(_possible(stars, first, percent), "join-pairs"), shingle_words, percent), "join-links")
+    possible = written(_possible(stars, first, percent), "join-pairs")
+    links = _verified(texts, possible, shingle_words, percent)
+    release(possible)
     twin_links = twins.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     labels = written(components(links.unionByName(twin_links)), "join-labels")
 
@@ -441,20 +458,18 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     apart = _labelled(_labelled(apart, labels, "doc", "c_doc"), labels, "centre", "c_centre").where("c_doc <> c_centre").select("doc", "centre")
     open_keys = written(buckets.join(apart, ["doc", "centre"], "left_semi").select("key").distinct(), "join-open-keys")
     open_rows = written(buckets.join(open_keys, "key", "left_semi").select("key", "doc"), "join-open")
-    roots = written(open_rows.groupBy("key").agg(F.min("doc").alias("a")), "join-roots")
-    members = reps(open_rows.join(roots, "key").select("a", F.col("doc").alias("b")).distinct(), within=True)
-    members = _labelled(_labelled(members, labels, "a", "c_a"), labels, "b", "c_b")
     class_ = twins.select(F.col("doc_id").alias("doc"), F.col("rep").alias("_doc"))
-    top = twins.select(F.col("doc_id").alias("root"), F.col("rep").alias("_root"))
-    keyed = open_rows.join(roots.withColumnRenamed("a", "root"), "key").join(class_, "doc", "left").join(top, "root", "left").select(
-        "key", F.coalesce("_root", "root").alias("root"), F.coalesce("_doc", "doc").alias("doc")).distinct()
-    across = _across(written(members.select(F.col("a").alias("root"), F.col("b").alias("doc"), F.col("c_b").alias("component"),
-                                            (F.col("c_a") == F.col("c_b")).alias("near")), "join-members"), keyed, first, percent)
+    members = open_rows.join(class_, "doc", "left").select("key", F.coalesce("_doc", "doc").alias("doc")).distinct()
+    members = written(_labelled(members, labels, "doc", "component"), "join-members")
+    release(buckets, open_keys)
+    across = written(_across(members, first, percent), "join-across")
+    release(members, open_rows)
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = written(_possible(across.join(tried, ["a", "b"], "left_anti"), first, percent), "join-rest")
     if not rest.isEmpty():
-        more = written(_verified(texts, rest, shingle_words, percent), "join-more")
+        more = _verified(texts, rest, shingle_words, percent)
         labels = written(components(links.unionByName(twin_links).unionByName(more)), "join-labels")
+    release(across, stars, rest, twins, classes)
     # ids whose only row has no shingles, and ids without links, are their own component
     return every.select("doc_id", "n_shingles").join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

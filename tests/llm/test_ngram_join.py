@@ -141,3 +141,13 @@ def test_connected_components(spark, seed):
     got = {x.node: x.component for x in cc.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {n: root(n) for n in up}
     assert cc.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_words_that_a_polynomial_hash_confuses(spark):
+    word = "a"
+    while len(word) < 2048:
+        word = "".join({"a": "ab", "b": "ba"}[c] for c in word)
+    other = word.translate({97: 98, 98: 97})
+    df = spark.createDataFrame([(1, word), (2, other), (3, word)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in j.similar_documents(df).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}

@@ -82,6 +82,14 @@ def test_empty_corpus_and_rows_with_one_id(spark, folder, tmp_path):
     assert found.where("component_id = 1").count() == 3
 
 
+def test_unlike_texts_with_one_id_all_stay(spark, folder):
+    path, texts = folder
+    rows = [(1, texts[3]), (1, texts[4]), (2, texts[6]), (3, texts[4]), (3, texts[4]), (4, None), (4, None), (5, texts[8]), (6, texts[8])]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SCHEMA)
+    out = sorted((r.doc_id, r.text or "") for r in c.ngram_join(spark, docs, path).collect())
+    assert out == sorted([(1, texts[3]), (1, texts[4]), (2, texts[6]), (4, ""), (4, ""), (5, texts[8])])
+
+
 def test_every_query_of_the_subpackage(spark):
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
