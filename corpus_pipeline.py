@@ -8,7 +8,7 @@ them, so token files follow the schedule.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -28,15 +28,25 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near copies (five words,
-    0.8); rows without an id or without words belong to no group."""
-    found = written(similar_documents(docs, shingle_words=5, percent=80), "pipeline-components")
-    gone = written(found.where("doc_id <> component_id").select("doc_id").distinct(), "pipeline-copies")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    if found.where("n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id is not null and n > 1").isEmpty():
-        return kept
-    # rows with one id are one document: the first of them stays
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").desc_nulls_last()))
-    return kept.withColumn("_nth", nth).where("_nth = 1 OR doc_id IS NULL").select(*docs.columns)
+    0.8); rows without an id or without words belong to no group. Rows that share an id
+    are told apart by their texts: unlike ones all stay, of equal ones one stays."""
+    shared = written(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id"), "pipeline-shared-ids")
+    if shared.isEmpty():
+        found = written(similar_documents(docs, shingle_words=5, percent=80), "pipeline-components")
+        gone = found.where("doc_id <> component_id").select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    own = F.when(F.col("_shared"), F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id"))
+    nodes = written(docs.join(shared.withColumn("_shared", F.lit(True)), "doc_id", "left").withColumn("_node", own), "pipeline-nodes")
+    found = written(similar_documents(nodes, id_col="_node", shingle_words=5, percent=80).where("doc_id is not null and n_shingles > 0").select(
+        F.col("doc_id").alias("_node"), F.col("component_id").alias("_group")).distinct(), "pipeline-components")
+    first = found.join(nodes.select("_node", "doc_id").distinct(), "_node").groupBy("_group").agg(
+        F.min(F.struct("doc_id", "_node")).alias("r")).select(F.col("r._node").alias("_node"))
+    gone = written(found.join(first, "_node", "left_anti").select("_node"), "pipeline-copies")
+    kept = nodes.join(gone, "_node", "left_anti")
+    grouped = kept.where("_shared").join(found.select("_node"), "_node", "left_semi").dropDuplicates(["_node"])
+    wordless = kept.where("_shared").join(found.select("_node"), "_node", "left_anti")
+    rest = kept.where("_shared IS NULL")
+    return grouped.unionByName(wordless).unionByName(rest).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
