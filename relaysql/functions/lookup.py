@@ -2,14 +2,19 @@
 
 The sample functions look up one fixed key in an external store for every row
 and append the value to their argument. Per-row network calls do not scale, so
-the lookup is re-expressed three ways:
+the lookup is re-expressed four ways:
 
 * :func:`const_lookup` - the store is a table or view (key column, value
   column). The function is SQL-bodied with a scalar subquery, which Spark runs
   once per query and folds in as a constant; no join, no per-row work.
 * :func:`lookup_join` - the key comes from each row. A left join to the lookup
-  table, reduced to one row per key and stored; Spark broadcasts it only when its
-  files are below the broadcast threshold, else AQE splits hot keys of the join.
+  table reduced to one row per key: lazily, with a broadcast, where the table's size
+  by its plan statistics is below the broadcast threshold; else to a stored snapshot
+  (:func:`lookup_snapshot`, which jobs can make once and reuse), where AQE splits hot
+  keys of the join.
+* :func:`service_join` - the key comes from each row and the store is a service. The
+  distinct keys of all rows are asked once each, cluster-wide, by a bounded number of
+  tasks with one call in flight; the answers are stored and joined back.
 * :func:`service_lookup` - the store is a service reachable only through a
   client. An iterator pandas UDF keeps one client per Python worker and asks it
   once per distinct key of each Arrow batch.
@@ -22,15 +27,17 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relaysql.functions.library import SqlFunction, jvm_text
-from relaysql.session import shared_path
+from relaysql.session import shared_path, ship_package
 
 # Fixed value: the key the sample lookup functions read.
 DEFAULT_KEY = "k1"
@@ -68,22 +75,95 @@ def const_lookup(view: str, key_col: str, value_col: str, key: str = DEFAULT_KEY
     return SqlFunction((("t1", "STRING"),), "STRING", body)
 
 
-def lookup_join(df: DataFrame, key: str, table: DataFrame, table_key: str, value_cols: list[str]) -> DataFrame:
+@dataclass(frozen=True)
+class Snapshot:
+    """A lookup table reduced to one row per key (column ``__lookup_key``) and stored
+    under the shared folder, for any number of joins; ``release`` removes it."""
+
+    table: DataFrame
+    path: str
+
+    def release(self) -> None:
+        spark = self.table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def _stored(df: DataFrame) -> Snapshot:
+    path = shared_path(df.sparkSession, "lookup")
+    df.write.parquet(path)
+    return Snapshot(df.sparkSession.read.parquet(path), path)
+
+
+def _reduced(table: DataFrame, table_key: str, value_cols: list[str]) -> DataFrame:
+    values = F.struct(*[F.col(c) for c in value_cols])
+    return table.where(F.col(table_key).isNotNull()).groupBy(F.col(table_key).alias("__lookup_key")).agg(
+        F.max(values).alias("v")).select("__lookup_key", "v.*")
+
+
+def lookup_snapshot(table: DataFrame, table_key: str, value_cols: list[str]) -> Snapshot:
+    """``table`` reduced to one row per key, as :func:`lookup_join` does, and stored."""
+    return _stored(_reduced(table, table_key, value_cols))
+
+
+def _broadcast_limit(spark: SparkSession) -> int:
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
+def lookup_join(df: DataFrame, key: str, table: DataFrame | Snapshot, table_key: str | None = None,
+                value_cols: list[str] | None = None) -> DataFrame:
     """Left-join ``value_cols`` of ``table`` to ``df`` on ``df[key] == table[table_key]``.
 
     Of several rows with one key the greatest counts, compared column by column, so
-    values always come from one real row and the join never multiplies rows. The
-    reduced table is written to the shared folder: its size is then known when the
-    join is planned, and as both sides are plain scans, AQE can split a hot key.
+    values always come from one real row and the join never multiplies rows. A table
+    whose plan statistics lie below the broadcast threshold is reduced and broadcast
+    when the join runs, and nothing is written. A larger one is stored first, so that its
+    reduced size is known when the join is planned; as both sides are plain scans, AQE
+    can split a hot key. A :class:`Snapshot` is joined as it is.
     """
-    values = F.struct(*[F.col(c) for c in value_cols])
-    reduced = table.where(F.col(table_key).isNotNull()).groupBy(F.col(table_key).alias("__lookup_key")).agg(F.max(values).alias("v"))
-    path = shared_path(df.sparkSession, "lookup")
-    reduced.select("__lookup_key", "v.*").write.parquet(path)
-    stored = df.sparkSession.read.parquet(path)
+    if isinstance(table, Snapshot):
+        stored = table.table
+    else:
+        reduced = _reduced(table, table_key, value_cols)
+        size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        stored = F.broadcast(reduced) if size <= _broadcast_limit(df.sparkSession) else _stored(reduced).table
     return df.join(stored, df[key] == stored["__lookup_key"], "left").drop("__lookup_key")
 
 
+def service_answers(df: DataFrame, key: str, client_factory: Callable[[], object], value_col: str = "value",
+                    max_in_flight: int = 64) -> Snapshot:
+    """``client.get(k)`` (text) for every distinct key of ``df[key]`` but null, stored.
+
+    Keys meet in one row each before anyone is asked, so the service hears of a key once,
+    however many rows and partitions have it; at most ``max_in_flight`` tasks ask, one call
+    at a time. The answers are stored when this returns: later jobs and retries of them do
+    not ask again (a task lost with its executor asks its keys anew).
+    """
+    if max_in_flight < 1:
+        raise ValueError("max_in_flight must be at least 1")
+    ship_package(df.sparkSession)
+    identity = hashlib.sha256(cloudpickle.dumps(client_factory)).hexdigest()
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        client = _client(identity, client_factory)
+        for batch in batches:
+            answers = [client.get(k) for k in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([None if a is None else str(a) for a in answers], pa.string())], names=["__lookup_key", value_col])
+
+    keys = df.select(F.col(key).alias("__lookup_key")).where("__lookup_key is not null").distinct().repartition(max_in_flight)
+    schema = T.StructType([keys.schema["__lookup_key"], T.StructField(value_col, T.StringType())])
+    return _stored(keys.mapInArrow(ask, schema))
+
+
+def service_join(df: DataFrame, key: str, client_factory: Callable[[], object], value_col: str = "value",
+                 max_in_flight: int = 64) -> DataFrame:
+    """``df`` with the service's answer to each row's key in ``value_col`` (null where the key
+    is null or unknown); see :func:`service_answers`. ``df`` is read twice, once for its
+    keys: pass a decoded batch that is shared, or a table."""
+    return lookup_join(df, key, service_answers(df, key, client_factory, value_col, max_in_flight))
+
+
 _CLIENTS: dict[str, object] = {}
 
 

@@ -404,6 +404,10 @@ class Decoder:
         fast = first.select("__msg", *self._fast)
         parsed = fast.select("*", self._text)
         checked = parsed.select(*self._stage).select(self._generate)
+        return self.split(checked)
+
+    def split(self, checked: DataFrame) -> Decoded:
+        """The rows and rejects of a decode stage, as it was made or stored and read again."""
         if self.on_bad_record == "fail":
             return Decoded(checked.where(self._guard).select(*self._names), None, checked)
         r = F.col("__reason")

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import partial
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaysql.functions.lookup import const_lookup, lookup_join
+from relaysql.functions.lookup import const_lookup, lookup_join, service_join
 from relaysql.plans.conformance import CONFORMANCE
 from relaysql.plans.job import BatchResult, SqlJob, preview
 from relaysql.session import shared_path
@@ -470,6 +472,30 @@ def lookup_keyed(spark, sf_dir):
         "c_custkey", "c_name", "n_name")
 
 
+class TableClient:
+    """A key/value service in the worker's own process, for the checked query."""
+
+    def __init__(self, data: dict):
+        self.data = data
+
+    def get(self, key):
+        return self.data.get(key)
+
+
+@register("lookup_service",
+          "SELECT c_custkey, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND c_custkey % 10 <> 0")
+def lookup_service(spark, sf_dir):
+    """Per-row key, store behind a client: each distinct key is asked once, cluster-wide.
+    The client's table is ``nation`` (25 rows); every tenth customer asks for a key it lacks."""
+    schema = {"c_custkey": "long", "k": "string"}
+    job = SqlJob(spec_of(json.dumps(schema), schema, "select * from source"))
+    key = F.when(F.col("c_custkey") % 10 == 0, "none").otherwise(F.col("c_nationkey").cast("string")).alias("k")
+    out = run(spark, job, lambda s: as_messages(read_table(s, sf_dir, "customer"), "c_custkey", key))
+    names = {str(r.n_nationkey): r.n_name for r in read_table(spark, sf_dir, "nation").collect()}
+    out.checked.persist(StorageLevel.MEMORY_AND_DISK)       # read for its keys, then joined
+    return service_join(out.source, "k", partial(TableClient, names), "n_name").select("c_custkey", "n_name")
+
+
 @register("lookup_duplicates",
           "SELECT s_suppkey, c.c_name, c.c_acctbal FROM supplier LEFT JOIN (SELECT c_nationkey, max(c_name) AS c_name, "
           "arg_max(c_acctbal, c_name) AS c_acctbal FROM customer GROUP BY c_nationkey) c ON s_nationkey = c_nationkey")

@@ -5,8 +5,9 @@ so the decode, the SQL and the encode are one Catalyst plan. Every declared fiel
 is decoded and checked whatever the SQL reads (a bad record is bad either way), and
 user filters stay above the decode; besides the SQL's own shuffles there is at most
 one, which spreads an input of few partitions. ``source`` is a view over the decode:
-SQL that names it several times decodes several times unless the decoded stage is
-persisted, which the stream runner does. It calls the same method once per
+where the analysed SQL names it several times, the decoded stage is shared, so the
+messages are read and parsed once (``SqlJob(share=...)``), and given back with
+:meth:`BatchResult.release`. The stream runner calls the same method once per
 micro-batch, so every batch is computed independently (aggregates, windows and
 DISTINCT see one batch).
 """
@@ -16,13 +17,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from relaysql.functions import library
 from relaysql.functions.registry import register_function, register_functions
-from relaysql.operators.decode import decoder_for
+from relaysql.operators.decode import Decoded, decoder_for
 from relaysql.operators.shape import encode_json, shape
-from relaysql.session import job_session
+from relaysql.session import job_session, shared_path
 from relaysql.spec import JobSpec
 
 SOURCE_VIEW = "source"
@@ -30,6 +32,7 @@ SOURCE_VIEW = "source"
 # says (F1).
 COMMON_FUNCTION = "MyUDF"
 PREVIEW_ROWS = 20
+SHARE_MODES = ("cache", "store", "no")
 
 
 @dataclass(frozen=True)
@@ -41,12 +44,23 @@ class BatchResult:
     rejected: DataFrame | None  # bad messages (value, reason) under quarantine
     checked: DataFrame       # decode stage shared by ``source`` and ``rejected``
     mentions: int            # how often the SQL reads ``source``
+    stored_at: str | None = None  # where the shared stage lies, if it is stored
+    cached: bool = False          # is the shared stage persisted
+
+    def release(self) -> None:
+        """Give back the shared decode stage; the results cannot be read anew from it."""
+        if self.cached:
+            self.checked.unpersist()
+        if self.stored_at is not None:
+            spark = self.checked.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(self.stored_at)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 class SqlJob:
     def __init__(self, spec: JobSpec, extra_functions: dict | None = None,
                  reference_views: dict[str, Callable[[SparkSession], DataFrame] | str] | None = None,
-                 rebalance: bool | int = True):
+                 rebalance: bool | int = True, share: str = "cache"):
         """``extra_functions`` maps names to function objects registered beside
         the config's; ``reference_views`` are extra read-only views (lookup
         tables) the SQL and SQL-bodied lookup functions may name, each given as
@@ -58,7 +72,16 @@ class SqlJob:
         ``SPREAD_FACTOR`` times its partitions, capped by the slots (or over
         ``rebalance`` partitions when an int is given). A batch that already has
         enough partitions - the normal case at scale, and always for a topic read
-        with ``minPartitions`` - is left as it is, with no shuffle."""
+        with ``minPartitions`` - is left as it is, with no shuffle.
+
+        ``share``: how SQL that names ``source`` more than once gets it decoded once.
+        ``"cache"`` persists the decoded stage in memory and on the executors' disks
+        when the SQL first runs (no job before); ``"store"`` writes it under the
+        shared folder at once, for batches beyond the executors' disks or where
+        executors come and go; ``"no"`` decodes once per mention."""
+        if share not in SHARE_MODES:
+            raise ValueError(f"share must be one of {SHARE_MODES}, got {share!r}")
+        self.share = share
         self.spec = spec
         self.extra_functions = dict(extra_functions or {})
         self.reference_views = dict(reference_views or {})
@@ -87,12 +110,25 @@ class SqlJob:
         """
         if self.rebalance:
             messages = spread(messages, None if self.rebalance is True else int(self.rebalance))
-        decoded = decoder_for(messages.sparkSession, self.spec.input_fields, self.spec.on_bad_record)(messages, value_col)
-        decoded.rows.createOrReplaceTempView(SOURCE_VIEW)
-        result = messages.sparkSession.sql(self.spec.sql)
+        decoder = decoder_for(messages.sparkSession, self.spec.input_fields, self.spec.on_bad_record)
+        decoded = decoder(messages, value_col)
+        result, stored_at, cached = self._sql(decoded), None, False
+        mentions = source_mentions(result)
+        if mentions > 1 and self.share == "cache":
+            decoded.checked.persist(StorageLevel.MEMORY_AND_DISK)
+            cached = True
+        elif mentions > 1 and self.share == "store":
+            stored_at = shared_path(messages.sparkSession, "decoded")
+            decoded.checked.write.parquet(stored_at)
+            decoded = decoder.split(messages.sparkSession.read.schema(decoded.checked.schema).parquet(stored_at))
+            result = self._sql(decoded)
         shaped = shape(result, self.spec.output_fields) if self.spec.output_fields else result
         return BatchResult(decoded.rows, result, shaped, encode_json(shaped), decoded.rejected, decoded.checked,
-                           source_mentions(result))
+                           mentions, stored_at, cached)
+
+    def _sql(self, decoded: Decoded) -> DataFrame:
+        decoded.rows.createOrReplaceTempView(SOURCE_VIEW)
+        return decoded.rows.sparkSession.sql(self.spec.sql)
 
 
 def source_mentions(result: DataFrame) -> int:

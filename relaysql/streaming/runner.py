@@ -44,7 +44,7 @@ def batch_handler(job: SqlJob, sink: MessageSink, quarantine: MessageSink | None
     def handle(batch: DataFrame, batch_id: int) -> None:
         out = job.run_batch(batch)
         held = []
-        if quarantine is not None or out.mentions > 1:
+        if quarantine is not None and not out.cached and out.stored_at is None:
             held.append(out.checked.persist(StorageLevel.MEMORY_AND_DISK))
         if show_preview:
             held.append(out.shaped.persist(StorageLevel.MEMORY_AND_DISK))
@@ -58,6 +58,7 @@ def batch_handler(job: SqlJob, sink: MessageSink, quarantine: MessageSink | None
         finally:
             for df in held:
                 df.unpersist()
+            out.release()
 
     return handle
 
