@@ -22,6 +22,8 @@ smallest id are all responses. Columns other than the three are not read.
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,8 @@ from relaysql.session import shared_path
 MIN_REVISIT_BYTES = 100      # smaller payloads are never revisits
 WARC_DATE = "1970-01-01T00:00:00Z"
 CRLF = "\r\n"
+# Every character that Unicode counts as a line break.
+LINE_BREAKS = "\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029"
 
 
 def _record_id(page_id: Column) -> Column:
@@ -69,7 +73,9 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     joined = records.drop("payload").join(index, "payload_digest")
     response = ((F.col("payload_bytes") < MIN_REVISIT_BYTES) | F.col("first_page_id").isNull()
                 | F.col("page_id").eqNullSafe(F.col("first_page_id")))
-    uri = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    uri = F.col("url")
+    for c in LINE_BREAKS:
+        uri = F.replace(uri, F.lit(c), F.lit(quote(c)))
     headers = F.concat(
         F.lit(f"WARC/1.1{CRLF}WARC-Type: "), F.when(response, "response").otherwise("revisit"), F.lit(CRLF),
         _field("WARC-Record-ID", _record_id(F.coalesce(F.col("page_id").cast("string"), F.lit("none")))),
@@ -88,7 +94,8 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
 
 
 def _header(name: str) -> Column:
-    found = F.regexp_extract("headers", rf"(?m)^{name}: ([^\r\n]*)", 1)
+    # header lines end in CRLF and in nothing else, whatever a url holds
+    found = F.regexp_extract("headers", rf"(?:^|\r\n){name}: ([^\r\n]*)", 1)
     return F.when(found != "", found)
 
 

@@ -49,3 +49,14 @@ def test_null_ids_and_empty_table(spark):
     got = sorted((r.page_id or -1, r.record_type, r.refers_to or -1) for r in w.verified(spark, path).collect())
     assert got == [(-1, "response", -1), (-1, "revisit", 8), (8, "response", -1)]
     assert w.verified(spark, archive(spark, [])).count() == 0
+
+
+def test_line_breaks_of_all_kinds_in_urls(spark):
+    breaks = "\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029"
+    rows = [(i, f"http://a/{c}X-Page: 77{c}WARC-Type: revisit{c}text", BIG + str(i), None, None) for i, c in enumerate(breaks)]
+    rows.append((50, "http://a/\u2028X-Page: 77 and text", BIG, None, None))
+    path = archive(spark, rows)
+    got = {r.page_id: r for r in w.read_archive(spark, path).collect()}
+    assert set(got) == {r[0] for r in rows} and {r.record_type for r in got.values()} == {"response"}
+    assert got[8].url == "http://a/%E2%80%A8X-Page: 77%E2%80%A8WARC-Type: revisit%E2%80%A8text"
+    assert all(len(r.headers.split("\r\n")) == len(r.headers.splitlines()) + 1 for r in got.values())
