@@ -16,9 +16,9 @@ sizes a and b reach the similarity p only if their symmetric difference is at mo
   safely. The rest is verified on whole texts.
 * A bucket whose members then lie in one component is done: nothing it holds could
   merge anything. In the others all pairs across components are compared by their
-  sketches (``_across``), within tiles of bounded size and without listing them: only
-  pairs within the Hamming bound come out, and are verified. No link between different
-  texts is lost.
+  sketches, within tiles of bounded size and without listing them (``_across_by_tiles``),
+  or found by rare sketch differences (``_across_by_bits``): pairs within the Hamming bound
+  come out, and are verified. No link between different texts is lost.
 
 Equal sets form classes first and are never compared. Each slice of texts hands on
 a bucket once, with its smallest id, and lists its other members aside, so a
@@ -350,7 +350,7 @@ def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFra
         *df.columns, F.coalesce("_c", node).alias(name))
 
 
-def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _across_by_tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that sizes and sketches leave open, among
     the ``members`` (key, doc, component) of the buckets.
 
@@ -422,9 +422,77 @@ def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
+def _across_by_bits(members: DataFrame, keyed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that can link, among the members (root, doc,
+    component, near: in the root's component) of buckets with one smallest id.
+
+    Sets of one bucket are much alike, so what tells them apart is how their sketches
+    differ from the root's: the bits where they do are a small set with ``h`` elements.
+    Two sets within the distance D share at least t = (h_a + h_b - D) / 2 of these, so
+    with bits in order of rarity they share one of the first h_a - t + 1 and h_b - t + 1.
+    Where t is not positive, both stand so near the root that h tells them. Members beyond
+    twice the largest D of theirs have little to do with the root: they are compared
+    within their buckets (``keyed``: key, root, doc). Their partners are as far, less D."""
+    sketch = sets.groupBy("doc_id").agg(F.max(F.struct("n_shingles", *SKETCH)).alias("s"))
+    sketch = written(sketch.select("doc_id", "s.*").join(
+        members.select(F.col("doc").alias("doc_id")).unionByName(members.select(F.col("root").alias("doc_id"))).distinct(), "doc_id", "left_semi"),
+        "join-sketches")
+    own = sketch.withColumnRenamed("doc_id", "doc").withColumnRenamed("n_shingles", "n")
+    root = sketch.select(F.col("doc_id").alias("root"), *(F.col(s).alias(f"{s}_r") for s in SKETCH))
+    rows = members.join(own, "doc").join(root, "root").select(
+        "root", "doc", "component", "near", "n", *((F.col(s).bitwiseXOR(F.col(f"{s}_r"))).alias(s) for s in SKETCH))
+    most = f"((n + (n * 100) div {percent}) * {100 - percent}) div {100 + percent}"      # D with the largest partner
+    # folded differences: a quarter as wide, and their distance is still a lower bound
+    folds = [f"f{i}" for i in range(SKETCH_WORDS // 4)]
+    rows = written(rows.withColumn("h", F.expr(" + ".join(f"bit_count({s})" for s in SKETCH)).cast("bigint")).withColumn(
+        "most", F.expr(most)).withColumns({f: F.expr(" ^ ".join(SKETCH[i::len(folds)])) for i, f in enumerate(folds)}), "join-differences")
+
+    def bits(batches):
+        for batch in batches:
+            words_ = np.stack([batch.column(s).to_numpy() for s in SKETCH], axis=1).astype("<i8") if len(batch) else np.zeros((0, SKETCH_WORDS), "<i8")
+            at, pos = np.nonzero(np.unpackbits(np.ascontiguousarray(words_).view(np.uint8), axis=1))
+            part = batch.select(["root", "doc"]).take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pos)], names=[*part.schema.names, "pos"])
+
+    least = rows.where("not near").groupBy("root").agg(F.min("h").alias("h_least"))
+    # narrow until the prefixes are cut: root, member, bit
+    rare = written(rows.where("h <= 2 * most").mapInArrow(bits, "root bigint, doc bigint, pos bigint"), "join-bits")
+    order = Window.partitionBy("root", "doc").orderBy("often", "pos")                    # at most 1024 rows
+    ranked = rare.join(rare.groupBy("root", "pos").agg(F.count("*").alias("often")), ["root", "pos"]).withColumn(
+        "rank", F.row_number().over(order)).drop("often")
+    ranked = ranked.join(rows.drop(*SKETCH).join(least, "root"), ["root", "doc"])
+    # a member of the root's component only needs to meet those that are not
+    t_least = F.expr("greatest(1, CASE WHEN near THEN (h_least + h - most + 1) div 2 ELSE h - most END)")
+    prefix = written(ranked.where(F.col("rank") <= F.col("h") - t_least + 1).drop("h_least"), "join-prefixes")
+    side = lambda x, keys: prefix.select(*keys, *(F.col(c).alias(f"{c}_{x}") for c in ("doc", "component", "near", "n", "h", "rank", *folds)))
+    d = f"((n_a + n_b) * {100 - percent}) div {100 + percent}"
+    t = f"greatest(1, (h_a + h_b - {d} + 1) div 2)"
+    apart = " + ".join(f"bit_count({f}_a ^ {f}_b)" for f in folds)
+    far = side("a", ["root", "pos"]).join(side("b", ["root", "pos"]), ["root", "pos"]).where(
+        f"doc_a < doc_b AND component_a <> component_b AND NOT (near_a AND near_b) AND rank_a <= h_a - {t} + 1 AND rank_b <= h_b - {t} + 1 AND {apart} <= {d}")
+    placed = written(keyed.join(rows.where("2 * h > most").drop(*SKETCH), ["root", "doc"]), "join-placed")
+    one = lambda x: placed.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("doc", "component", "n", "h", "most", *folds)))
+    beyond = one("a").where("h_a > 2 * most_a").join(one("b"), "key").where(
+        f"doc_a <> doc_b AND component_a <> component_b AND abs(h_a - h_b) <= {d} AND {apart} <= {d}")
+    beyond = beyond.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")).distinct()
+    probes = rows.where("not near and h <= most").select(
+        "root", F.col("doc").alias("doc_a"), F.col("component").alias("component_a"), F.explode(F.expr("sequence(0L, most - h)")).alias("h"))
+    close = probes.join(rows.where("h <= most").select("root", "h", F.col("doc").alias("doc_b"), F.col("component").alias("component_b")),
+                        ["root", "h"]).where("component_a <> component_b")
+    return far.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).unionByName(
+        close.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"))).unionByName(beyond).distinct()
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id: documents linked at ``percent`` or more."""
+                      shingle_words: int = 5, percent: int = 80, across: str = "tiles") -> DataFrame:
+    """doc_id, n_shingles, component_id: documents linked at ``percent`` or more.
+
+    ``across``: how pairs across the components of open buckets are found, with equal
+    results. ``"tiles"`` compares sketches in tiles (time grows with the square of an open
+    bucket, disk with its size); ``"bits"`` joins on rare sketch differences (rows grow
+    with the members' distance from the bucket's smallest id)."""
+    if across not in ("tiles", "bits"):
+        raise ValueError("across must be 'tiles' or 'bits'")
     spark = docs.sparkSession
     ship_package(spark)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -459,21 +527,32 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     open_keys = written(buckets.join(apart, ["doc", "centre"], "left_semi").select("key").distinct(), "join-open-keys")
     open_rows = written(buckets.join(open_keys, "key", "left_semi").select("key", "doc"), "join-open")
     class_ = twins.select(F.col("doc_id").alias("doc"), F.col("rep").alias("_doc"))
-    members = open_rows.join(class_, "doc", "left").select("key", F.coalesce("_doc", "doc").alias("doc")).distinct()
-    members = written(_labelled(members, labels, "doc", "component"), "join-members")
-    release(buckets, open_keys)
-    across = written(_across(members, first, percent), "join-across")
-    release(members, open_rows)
+    if across == "tiles":
+        members = open_rows.join(class_, "doc", "left").select("key", F.coalesce("_doc", "doc").alias("doc")).distinct()
+        members = written(_labelled(members, labels, "doc", "component"), "join-members")
+        found = _across_by_tiles(members, first, percent)
+    else:
+        roots = written(open_rows.groupBy("key").agg(F.min("doc").alias("a")), "join-roots")
+        members = reps(open_rows.join(roots, "key").select("a", F.col("doc").alias("b")).distinct(), within=True)
+        members = _labelled(_labelled(members, labels, "a", "c_a"), labels, "b", "c_b")
+        top = twins.select(F.col("doc_id").alias("root"), F.col("rep").alias("_root"))
+        keyed = open_rows.join(roots.withColumnRenamed("a", "root"), "key").join(class_, "doc", "left").join(top, "root", "left").select(
+            "key", F.coalesce("_root", "root").alias("root"), F.coalesce("_doc", "doc").alias("doc")).distinct()
+        members = written(members.select(F.col("a").alias("root"), F.col("b").alias("doc"), F.col("c_b").alias("component"),
+                                         (F.col("c_a") == F.col("c_b")).alias("near")), "join-members")
+        found = _across_by_bits(members, keyed, first, percent)
+    found = written(found, "join-across")
+    release(members, open_rows, buckets, open_keys)
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = written(_possible(across.join(tried, ["a", "b"], "left_anti"), first, percent), "join-rest")
+    rest = written(_possible(found.join(tried, ["a", "b"], "left_anti"), first, percent), "join-rest")
     if not rest.isEmpty():
         more = _verified(texts, rest, shingle_words, percent)
         labels = written(components(links.unionByName(twin_links).unionByName(more)), "join-labels")
-    release(across, stars, rest, twins, classes)
+    release(found, stars, rest, twins, classes)
     # ids whose only row has no shingles, and ids without links, are their own component
     return every.select("doc_id", "n_shingles").join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_documents(table(spark, sf_dir, "documents"), shingle_words=4, percent=85)
+    return similar_documents(table(spark, sf_dir, "documents"), shingle_words=4, percent=85, across="bits")

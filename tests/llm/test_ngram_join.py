@@ -68,13 +68,13 @@ def made(seed=2):
     return rows
 
 
-@pytest.mark.parametrize("k,percent", [(4, 85), (5, 80)])
-def test_components_against_brute_force(spark, monkeypatch, k, percent):
+@pytest.mark.parametrize("k,percent,across", [(4, 85, "bits"), (5, 80, "tiles")])
+def test_components_against_brute_force(spark, monkeypatch, k, percent, across):
     rows = made()
     docs = spark.createDataFrame([(i, t, "clash", 1, 2) for i, t in rows],
                                  "doc_id bigint, text string, component_id string, key bigint, s0 bigint").repartition(6)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in
-           j.similar_documents(docs, shingle_words=k, percent=percent).collect()}
+           j.similar_documents(docs, shingle_words=k, percent=percent, across=across).collect()}
     assert got == brute(rows, k, percent)
 
 
