@@ -62,10 +62,11 @@ def events_job(spark: SparkSession, sf_dir: str, sql: str, output_schema: str |
 
 
 def sql_output(sql: str) -> Query:
-    """A conformance query: no output schema, the SQL result is returned as is."""
+    """A conformance query: no output schema, the SQL result is returned as is. A shared
+    decode is stored, not cached: a cache nobody releases would serve later queries too."""
 
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return events_job(spark, sf_dir, sql, "").result
+        return events_job(spark, sf_dir, sql, "", share="store").result
 
     return q
 
