@@ -50,6 +50,7 @@ SKETCH_WORDS = 16                  # 1024 bits
 LONG_SET = 512                     # larger sets also get a sketch as wide as they need
 BITMAP_BITS = 26
 TILE = 2048                        # members that meet in one task
+EARLIER = 32                       # of a set's buckets that tell where a pair met before
 SALTS = 64                         # groups of pairs with one centre
 
 # Words are [^\x20\x09-\x0D]+ of lower-cased text.
@@ -350,18 +351,45 @@ def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFra
         *df.columns, F.coalesce("_c", node).alias(name))
 
 
+def _different_buckets(members: DataFrame) -> DataFrame:
+    """The ``members`` (key, doc, component) of buckets with several components; of
+    buckets with equal members the one with the smallest key."""
+    alike = members.groupBy("key").agg(F.count("*").alias("m"), F.expr("bit_xor(xxhash64(doc))").alias("x"), F.expr("bit_xor(xxhash64(doc, 7))").alias("y"),
+                                       F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d")
+    return members.join(alike.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key"), "key")
+
+
+def _met_before(rank: np.ndarray, first: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the ascending lists of ranks of rows x[i] and y[i] have one in common."""
+    base = int(rank.max(initial=0)) + 1
+
+    def laid(rows):
+        n = first[rows + 1] - first[rows]
+        pair = np.repeat(np.arange(len(rows)), n)
+        return pair, pair * base + rank[np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[rows], n)]
+
+    pair, mine = laid(x)
+    _, other = laid(y)
+    out = np.zeros(len(x), bool)
+    if len(mine) and len(other):
+        at = np.minimum(np.searchsorted(other, mine), len(other) - 1)
+        out[pair[other[at] == mine]] = True
+    return out
+
+
 def _across_by_tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that sizes and sketches leave open, among
     the ``members`` (key, doc, component) of the buckets.
 
-    Equal buckets count once. A bucket is cut in tiles: a component with ``TILE`` members
+    A bucket is cut in tiles: a component with ``TILE`` members
     or more has tiles of its own, the others share tiles; pairs of tiles are units, but
     not those of one component. A unit's members lie in one task as rows of sketches,
-    which are compared there; only pairs within the Hamming bound come out."""
+    which are compared there; only pairs within the Hamming bound come out, and only of
+    the first bucket that both lie in. Rows carry the ``EARLIER`` smallest keys of their
+    document's buckets for that: a pair that shares none of these may come out again."""
     sketch = sets.groupBy("doc_id").agg(F.max(F.struct("n_shingles", *SKETCH)).alias("s")).select("doc_id", "s.*")
-    alike = members.groupBy("key").agg(F.count("*").alias("m"), F.expr("bit_xor(xxhash64(doc))").alias("x"), F.expr("bit_xor(xxhash64(doc, 7))").alias("y"),
-                                       F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d")
-    members = members.join(alike.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key"), "key")
+    # as many keys as a document has blocks at most
+    earlier = members.groupBy("doc").agg(F.slice(F.sort_array(F.collect_list("key")), 1, EARLIER).alias("keys"))
     heaps = members.groupBy("key", "component").agg(F.count("*").alias("m"))
     heaps = heaps.withColumn("own", F.when(F.col("m") >= TILE, F.col("component")))
     # a tile: its component (null: shared) and number; a row per bucket, not per member
@@ -371,7 +399,8 @@ def _across_by_tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataF
     dealt = heaps.alias("h").join(tiles.alias("t"), F.expr("h.key = t.key AND h.own <=> t.own")).select(
         "h.key", "h.component", "h.own", F.col("t.n").alias("dealt"))
     placed = members.join(dealt, ["key", "component"])
-    placed = placed.join(listed, "key").join(sketch.withColumnRenamed("doc_id", "doc"), "doc")
+    placed = placed.join(listed, "key").join(sketch.withColumnRenamed("doc_id", "doc").join(earlier, "doc"), "doc").withColumn(
+        "before", F.filter("keys", lambda k: k < F.col("key")))
     # members of a shared tile are dealt by component, so that equal ones meet in one tile
     at = F.struct(F.coalesce("own", F.lit(-1)).alias("c"), F.col("own").isNull().alias("shared"),
                   F.expr("cast(pmod(CASE WHEN own IS NULL THEN xxhash64(component) ELSE xxhash64(doc) END, dealt) as int)").alias("i"))
@@ -379,13 +408,16 @@ def _across_by_tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataF
     partners = F.filter("tiles", lambda t: F.col("at.shared") | t["shared"] | (t["c"] != F.col("at.c")))
     units = F.transform(partners, lambda t: F.struct(F.least(t, F.col("at")).alias("ta"), F.greatest(t, F.col("at")).alias("tb"), (t < F.col("at")).alias("second")))
     unit = ["key", "ta", "tb"]
-    rows = placed.select("key", "doc", "component", F.col("n_shingles").alias("n"), *SKETCH, F.inline(units)).withColumn("split", F.expr("ta <> tb"))
+    rows = placed.select("key", "doc", "component", F.col("n_shingles").alias("n"), "before", *SKETCH, F.inline(units)).withColumn("split", F.expr("ta <> tb"))
     rows = rows.repartition(*unit).sortWithinPartitions(*unit).select(
-        F.xxhash64(*unit).alias("unit"), "doc", "component", "n", "second", "split", *SKETCH)
+        F.xxhash64(*unit).alias("unit"), "doc", "component", "n", "second", "split", "before", *SKETCH)
 
     def pairs(rows_: pa.Table):
         unit_, doc, component, n, second, split = (rows_.column(c).to_numpy() for c in ("unit", "doc", "component", "n", "second", "split"))
         words_ = np.stack([rows_.column(c).to_numpy() for c in SKETCH], axis=1).view(np.uint64)
+        before = rows_.column("before").combine_chunks()
+        rank = np.unique(before.flatten().to_numpy(), return_inverse=True)[1]
+        first = np.concatenate([[0], np.cumsum(before.value_lengths().to_numpy())])
         last = np.append(unit_[1:] != unit_[:-1], True)
         ends = np.flatnonzero(last) + 1
         end = np.repeat(ends, np.diff(np.append(0, ends)))       # where each row's unit ends
@@ -401,8 +433,10 @@ def _across_by_tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataF
             for x, y in ((live[ok][k:k + SLICE_ROWS * 16], j[ok][k:k + SLICE_ROWS * 16]) for k in range(0, int(ok.sum()), SLICE_ROWS * 16)):
                 apart = np.bitwise_count(words_[x] ^ words_[y]).sum(axis=1, dtype=np.int64)
                 near = (100 + percent) * apart <= (100 - percent) * (n[x] + n[y])
-                if near.any():
-                    a, b = doc[x[near]], doc[y[near]]
+                x, y = x[near], y[near]
+                new = ~_met_before(rank, first, x, y)
+                if new.any():
+                    a, b = doc[x[new]], doc[y[new]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def compare(batches):
@@ -419,7 +453,7 @@ def _across_by_tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataF
         if len(held):
             yield from pairs(held)
 
-    return rows.mapInArrow(compare, "a bigint, b bigint").distinct()
+    return rows.mapInArrow(compare, "a bigint, b bigint")
 
 
 def _across_by_bits(members: DataFrame, keyed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -529,8 +563,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     class_ = twins.select(F.col("doc_id").alias("doc"), F.col("rep").alias("_doc"))
     if across == "tiles":
         members = open_rows.join(class_, "doc", "left").select("key", F.coalesce("_doc", "doc").alias("doc")).distinct()
-        members = written(_labelled(members, labels, "doc", "component"), "join-members")
-        found = _across_by_tiles(members, first, percent)
+        members = written(_different_buckets(_labelled(members, labels, "doc", "component")), "join-members")
+        found = _across_by_tiles(members, first, percent).distinct()
     else:
         roots = written(open_rows.groupBy("key").agg(F.min("doc").alias("a")), "join-roots")
         members = reps(open_rows.join(roots, "key").select("a", F.col("doc").alias("b")).distinct(), within=True)
