@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from relaysql.functions import library
 from relaysql.functions.registry import register_function, register_functions
@@ -64,7 +65,9 @@ class SqlJob:
         """``extra_functions`` maps names to function objects registered beside
         the config's; ``reference_views`` are extra read-only views (lookup
         tables) the SQL and SQL-bodied lookup functions may name, each given as
-        a parquet path or as a function building the DataFrame in a session.
+        a parquet path or as a function building the DataFrame in a session
+        (``versioned_view`` for tables replaced while jobs run). A stream binds
+        them anew for every micro-batch.
 
         ``rebalance``: decoding is CPU-bound, so when a batch arrives in fewer
         partitions than the cluster has task slots (few topic partitions, one
@@ -85,6 +88,7 @@ class SqlJob:
         self.spec = spec
         self.extra_functions = dict(extra_functions or {})
         self.reference_views = dict(reference_views or {})
+        self._view_schemas: dict[str, StructType] = {}
         self.rebalance = rebalance
 
     def open(self, spark: SparkSession) -> SparkSession:
@@ -93,10 +97,22 @@ class SqlJob:
         self.prepare(session)
         return session
 
-    def prepare(self, session: SparkSession) -> None:
+    def bind_views(self, session: SparkSession) -> None:
+        """Register the reference views as their tables are now. Files are listed here,
+        once: whatever reads a view until the next call reads the same files. A path keeps
+        the schema it had first, so binding it again runs no job."""
         for name, view in self.reference_views.items():
-            df = view(session) if callable(view) else session.read.parquet(view)
+            if callable(view):
+                df = view(session)
+            elif name in self._view_schemas:
+                df = session.read.schema(self._view_schemas[name]).parquet(view)
+            else:
+                df = session.read.parquet(view)
+                self._view_schemas[name] = df.schema
             df.createOrReplaceTempView(name)
+
+    def prepare(self, session: SparkSession) -> None:
+        self.bind_views(session)
         register_function(session, COMMON_FUNCTION, library.suffix_test)
         register_functions(session, self.spec.function_specs)
         for name, obj in self.extra_functions.items():
@@ -131,6 +147,22 @@ class SqlJob:
         return decoded.rows.sparkSession.sql(self.spec.sql)
 
 
+def versioned_view(folder: str) -> Callable[[SparkSession], DataFrame]:
+    """A reference view over the newest whole version of a parquet table whose versions
+    are folders ``version=N``, each complete once its ``_SUCCESS`` file is there. A writer
+    adds a version and leaves older ones to the batches still reading them, so a batch
+    never meets a half-written table or files that vanish."""
+    def newest(session: SparkSession) -> DataFrame:
+        hadoop = session._jvm.org.apache.hadoop.fs.Path
+        files = hadoop(folder).getFileSystem(session._jsparkSession.sessionState().newHadoopConf())
+        whole = [s.getPath().getParent() for s in files.globStatus(hadoop(f"{folder.rstrip('/')}/version=*/_SUCCESS")) or ()]
+        if not whole:
+            raise FileNotFoundError(f"no whole version below {folder}")
+        return session.read.parquet(max(whole, key=lambda p: int(p.getName().split("=")[1])).toString())
+
+    return newest
+
+
 def source_mentions(result: DataFrame) -> int:
     """How often the analysed plan, subqueries included, reads the view ``source``."""
     return result._jdf.queryExecution().analyzed().toString().count(f"View (`{SOURCE_VIEW}`")

@@ -13,10 +13,19 @@ Scale notes. Reading is split by Kafka partition (``minPartitions`` can split
 further) or by file block; ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``
 bound one micro-batch. Writing is one task per DataFrame partition, each with
 its own producer or file; no row passes through the driver.
+
+Whole batches in text folders. A stream's batch is written to a folder of its own,
+``run=R/batch_id=N/attempt=A``, and becomes visible to ``MessageSource.read`` with an empty
+marker file ``run=R/_commits/N-A``, made when all its files are there. A reader lists the
+markers and reads the folders they name, so it sees a batch whole or not at all, also
+while one is written or run again; the driver lists one name per batch. A batch with a
+marker is not written again: the first whole attempt stands. A streaming read of such a
+folder takes files as they appear, as from any folder, and may see a failed attempt's too.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +59,39 @@ def _load(reader, transport: str, *path: str) -> DataFrame:
         raise
 
 
+def _files(session: SparkSession, path: str):
+    """The Hadoop file system of a path, and the class of its paths."""
+    hadoop = session._jvm.org.apache.hadoop.fs.Path
+    return hadoop(path).getFileSystem(session._jsparkSession.sessionState().newHadoopConf()), hadoop
+
+
+def committed(session: SparkSession, folder: str, run: str = "*", batch_id: int | str = "*") -> list[str]:
+    """The folders of the whole batches below a text sink's folder: one attempt per run
+    and batch, the one with the smallest name should two drivers have made markers."""
+    folder = folder.rstrip("/")
+    files, hadoop = _files(session, folder)
+    found: dict[tuple[str, str], str] = {}
+    for status in files.globStatus(hadoop(f"{folder}/run={run}/_commits/{batch_id}-*")) or ():
+        marker = status.getPath()
+        number, attempt = marker.getName().split("-", 1)
+        key = (marker.getParent().getParent().getName(), number)
+        found[key] = min(attempt, found.get(key, attempt))
+    return [f"{folder}/{r}/batch_id={n}/attempt={a}" for (r, n), a in sorted(found.items())]
+
+
+def _visible(session: SparkSession, folder: str) -> list[str]:
+    """What a batch read of a text folder reads: the folder itself, or, where a stream has
+    written to it, its whole batches and the plain files and folders beside them."""
+    folder = folder.rstrip("/")
+    files, hadoop = _files(session, folder)
+    if not (files.globStatus(hadoop(f"{folder}/run=*")) or ()):
+        return [folder]
+    beside = [s.getPath() for s in files.listStatus(hadoop(folder))]
+    # batches of earlier versions have their files in the batch's folder itself
+    older = [s.getPath().getParent().toString() for s in files.globStatus(hadoop(f"{folder}/run=*/batch_id=*/_SUCCESS")) or ()]
+    return committed(session, folder) + older + [p.toString() for p in beside if not p.getName().startswith(("run=", "_", "."))]
+
+
 def value_only(records: DataFrame) -> DataFrame:
     """Keep the message value of topic records, as text."""
     return records.select(F.col("value").cast("string").alias("value"))
@@ -99,7 +141,10 @@ class MessageSource:
         """Batch read of what is in the topic now (S3 reads from ``earliest``)."""
         reader = session.read.format(self.transport).options(**self.reader_options(False))
         if self.transport == "text":
-            return value_only(_load(reader, self.transport, self.location))
+            paths = _visible(session, self.location)
+            if not paths:
+                return session.createDataFrame([], "value string")
+            return value_only(_load(reader, self.transport, paths))
         return value_only(_load(reader, self.transport))
 
 
@@ -141,9 +186,9 @@ class MessageSink:
         """Publish the ``value`` column (appended, as to a topic).
 
         For text with a ``batch_id`` and ``run``, the identity that a stream's
-        checkpoint holds, each batch goes to its own ``run=R/batch_id=N`` folder
-        written in overwrite mode: a batch that is run again after a failure
-        replaces its own earlier output, and never that of another run.
+        checkpoint holds, each batch goes to its own ``run=R/batch_id=N`` folder and
+        is committed whole (see the module): run again after a failure it takes the
+        place of attempts that were not, and never that of another run.
         """
         if batch_id is not None and not run:
             raise ValueError("a batch needs the identity of its run, else it could replace another run's output")
@@ -159,8 +204,17 @@ class MessageSink:
         if batch_id is None:
             out.write.mode("append").options(**self.writer_options()).text(self.location)
             return
-        path = f"{self.location.rstrip('/')}/run={run}/batch_id={batch_id}"
-        out.write.mode("overwrite").options(**self.writer_options()).text(path)
+        session, folder = values.sparkSession, f"{self.location.rstrip('/')}/run={run}"
+        if committed(session, self.location, run, batch_id):
+            return
+        attempt = uuid.uuid4().hex[:12]
+        path = f"{folder}/batch_id={batch_id}"
+        out.write.options(**self.writer_options()).text(f"{path}/attempt={attempt}")
+        files, hadoop = _files(session, folder)
+        files.create(hadoop(f"{folder}/_commits/{batch_id}-{attempt}"), False).close()
+        for status in files.listStatus(hadoop(path)):        # attempts that no reader was shown
+            if status.getPath().getName() != f"attempt={attempt}":
+                files.delete(status.getPath(), True)
 
 
 def kafka_sink(servers: str, topic: str, **options) -> MessageSink:

@@ -9,12 +9,15 @@ that a streaming plan would reject.
 Delivery: source offsets live in the query checkpoint (under the shared
 ``spark.checkpoint.dir``), so a restarted or failed query resumes from the last
 committed batch and re-runs at most that batch: at-least-once to Kafka,
-effectively once to the text sink, which overwrites a re-run batch's folder (it
-carries the query's id, which lives in the checkpoint, so another query or a new
-checkpoint appends beside it).
+effectively once to the text sink, which commits each batch whole and once (its
+folder carries the query's id, which lives in the checkpoint, so another query or a
+new checkpoint appends beside it).
 Tasks lost with an executor are retried by Spark from the batch's source
 offsets; nothing is held on the driver.
 
+Reference views are resolved anew for each micro-batch (``SqlJob.bind_views``): a
+batch sees the lookup tables as they are when it starts, the same for all its reads.
+
 When a batch has two outputs (results and quarantined messages), or its SQL reads
 ``source`` more than once, the decoded batch is persisted (memory and disk) for the
 duration of the batch, so the messages are read and parsed once; with a preview the
@@ -42,6 +45,7 @@ def batch_handler(job: SqlJob, sink: MessageSink, quarantine: MessageSink | None
     """The ``foreachBatch`` function: run the job on the batch and publish."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        job.bind_views(batch.sparkSession)
         out = job.run_batch(batch)
         held = []
         if quarantine is not None and not out.cached and out.stored_at is None:

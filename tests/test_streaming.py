@@ -4,6 +4,7 @@ import os
 import pytest
 
 from relaysql import JobSpec, SqlJob
+from relaysql.plans.job import versioned_view
 from relaysql.session import shared_path
 from relaysql.sources.topic import kafka_sink, kafka_source, text_sink, text_source
 from relaysql.streaming.runner import start_stream
@@ -188,3 +189,61 @@ def test_cli_quarantine_and_wrong_arity(spark, tmp_path):
     assert [d["reason"] for d in _read(spark, bad)] == ["missing:name"]
     with pytest.raises(JobSpecError):
         main(args[:-1] + ["--transport", "text"])
+
+
+@pytest.mark.parametrize("kind", ["path", "versions"])
+def test_reference_data_follows_its_table_between_batches(spark, kind):
+    topic, out, ckpt, ref = (shared_path(spark, "live", n) for n in ("in", "out", "ckpt", "ref"))
+
+    def publish(version, rows):
+        df = spark.createDataFrame(rows, "k int, name string").coalesce(1)
+        df.write.mode("overwrite").parquet(ref if kind == "path" else f"{ref}/version={version}")
+
+    publish(9, [(1, "one"), (2, "two")])
+    job = SqlJob(JobSpec(input_schema=IN, output_schema='{"t":"string","name":"string","n":"long"}', interval_seconds=1,
+                         sql="select t, name, (select count(*) from names) as n from source left join names using (k)"),
+                 reference_views={"names": ref if kind == "path" else versioned_view(ref)})
+    _publish(spark, topic, ['{"k":1,"t":"a"}', '{"k":3,"t":"b"}'])
+    q = start_stream(job, spark, text_source(topic), text_sink(out), checkpoint=ckpt)
+    try:
+        q.processAllAvailable()
+        publish(10, [(1, "uno"), (2, "two"), (3, "tres")])
+        if kind == "versions":                                  # one that is not whole yet
+            spark.createDataFrame([(1, "half")], "k int, name string").write.parquet(f"{ref}/version=11")
+            os.remove(f"{ref}/version=11/_SUCCESS")
+        _publish(spark, topic, ['{"k":1,"t":"c"}', '{"k":3,"t":"d"}'])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted((d["t"], d.get("name"), d["n"]) for d in _read(spark, out))
+    assert got == [("a", "one", 2), ("b", None, 2), ("c", "uno", 3), ("d", "tres", 3)]
+
+
+def test_reader_sees_whole_batches_only(spark):
+    out = shared_path(spark, "whole")
+    sink, rows = text_sink(out), lambda *v: spark.createDataFrame([(x,) for x in v], "value string")
+    seen = lambda: sorted(r.value for r in text_source(out).read(spark).collect())
+    # a driver lost while batch 0 was written: files are there, the marker is not
+    rows("half").write.text(f"{out}/run=r1/batch_id=0/attempt=dead")
+    assert seen() == []
+    sink.write(rows("a", "b"), batch_id=0, run="r1")
+    assert seen() == ["a", "b"]
+    assert len([d for d in os.listdir(f"{out}/run=r1/batch_id=0") if d.startswith("attempt=")]) == 1
+    before = text_source(out).read(spark)
+    # a re-run of a batch that was committed changes nothing under a reader
+    sink.write(rows("a", "b"), batch_id=0, run="r1")
+    rows("half").write.text(f"{out}/run=r1/batch_id=1/attempt=dead")
+    assert sorted(r.value for r in before.collect()) == seen() == ["a", "b"]
+    sink.write(rows(), batch_id=1, run="r1")                    # an empty batch
+    sink.write(rows("c"), batch_id=10, run="r1")
+    sink.write(rows("d"))                                       # appended beside the stream's batches
+    assert seen() == ["a", "b", "c", "d"]
+    # two drivers made markers for one batch: one of them counts
+    rows("x").write.text(f"{out}/run=r2/batch_id=1/attempt=aa")
+    rows("y").write.text(f"{out}/run=r2/batch_id=1/attempt=bb")
+    os.makedirs(f"{out}/run=r2/_commits")
+    for name in ("1-bb", "1-aa"):
+        open(f"{out}/run=r2/_commits/{name}", "w").close()
+    assert seen() == ["a", "b", "c", "d", "x"]
+    rows("old").write.text(f"{out}/run=r0/batch_id=0")          # written before batches had attempts
+    assert seen() == ["a", "b", "c", "d", "old", "x"]
