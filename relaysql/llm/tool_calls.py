@@ -10,9 +10,11 @@ JSON (sorted keys, no spaces). SQL functions and joins only.
 
 Order: ``(level, turn, idx)``. Where all dependencies of a conversation point back,
 the order of the messages is already topological and every level is 0. In the
-others levels are raised along dependencies until nothing changes: by one along a
-dependency that stands later in the conversation, else to at least its level. A
-call in a cycle, or behind one, never settles; it gets status ``cycle`` and no level.
+others a call's level is the greatest number of dependencies on one path from it that
+stand later in the conversation. Rounds settle calls whose dependencies are settled and
+pass over calls with a single dependency, so chains and cycles take a logarithm of their
+length in rounds, and a mesh its depth; no number of rounds is set. A call in a cycle, or
+behind one, gets status ``cycle`` and no level.
 No conversation is gathered in one place, however many turns it has.
 
 Defined results: a call without an id or a name has status ``malformed``; of calls
@@ -30,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaysql.llm.common import table, written
+from relaysql.llm.common import release, table, written
 
 CALLS = "array<struct<id:string,function:struct<name:string,arguments:string>,depends_on:array<string>>>"
 
@@ -44,8 +46,6 @@ TOOLS = [
     ("summarize", "conv", "integer", False),
 ]
 
-MAX_ROUNDS = 1000
-
 
 def json_type(value: Column) -> Column:
     """JSON Schema's name of a variant's type."""
@@ -69,22 +69,35 @@ def _levels(calls: DataFrame, edges: DataFrame) -> DataFrame:
     own = written(edges.join(tangled, "conv_key").select("conv_key", "call_id", "dep", "forward", "n_forward"), "calls-edges")
     if own.isEmpty():
         return calls.select("conv_key", "call_id", F.lit(0).cast("bigint").alias("level")).limit(0)
-    nodes = own.select("conv_key", "call_id").unionByName(own.select("conv_key", F.col("dep").alias("call_id"))).distinct()
-    level = written(nodes.select("conv_key", "call_id", F.lit(0).cast("bigint").alias("level")), "calls-level")
-    for _ in range(MAX_ROUNDS):
-        # nothing can need more levels than its conversation has forward dependencies
-        raised = own.join(level.select("conv_key", F.col("call_id").alias("dep"), F.col("level").alias("below")), ["conv_key", "dep"]).groupBy(
-            "conv_key", "call_id").agg(F.max(F.least(F.col("below") + F.col("forward").cast("int"), F.col("n_forward") + 1)).alias("least"))
-        new = written(level.join(raised, ["conv_key", "call_id"], "left").select(
-            "conv_key", "call_id", F.greatest("level", F.coalesce("least", "level")).alias("level"),
-            (F.coalesce("least", "level") > F.col("level")).alias("changed")), "calls-level")
-        level = new.drop("changed")
-        if new.where("changed").isEmpty():
+    # a node's level is the greatest of its base and, over its edges, weight + level of the target
+    key = ["conv_key", "call_id"]
+    base = written(own.select(*key, "n_forward").unionByName(own.select("conv_key", F.col("dep").alias("call_id"), "n_forward")).distinct().withColumn(
+        "base", F.lit(0).cast("bigint")), "calls-base")
+    left = written(own.select(*key, "dep", "n_forward", F.col("forward").cast("bigint").alias("w")), "calls-left")
+    release(own)
+    while True:
+        ahead = base.join(left.groupBy(*key).agg(F.count("*").alias("n_out"), F.min("dep").alias("next"), F.min("w").alias("step")), key, "left").select(
+            "conv_key", F.col("call_id").alias("dep"), F.col("base").alias("below"), "n_out", "next", "step")
+        # a target without edges is settled, one with a single edge is passed over: chains and cycles double their steps
+        settled, sole = F.col("n_out").isNull(), F.coalesce(F.col("n_out") == 1, F.lit(False))
+        moved = written(left.join(ahead, ["conv_key", "dep"]).select(
+            *key, "n_forward", F.when(sole, F.col("next")).when(~settled, F.col("dep")).alias("dep"),
+            F.least(F.col("n_forward") + 1, F.col("w") + F.when(sole, F.col("step")).otherwise(0)).alias("w"),
+            F.when(settled | sole, F.col("w") + F.col("below")).otherwise(0).alias("least"), (settled | sole).alias("changed")), "calls-round")
+        if moved.where("changed").isEmpty():
             break
-    else:
-        raise RuntimeError("levels did not settle")
-    return level.join(tangled, "conv_key").select(
-        "conv_key", "call_id", F.when(F.col("level") <= F.col("n_forward"), F.col("level")).alias("level"))
+        # no path without a cycle passes more forward dependencies than there are
+        raised = moved.groupBy(*key).agg(F.max(F.greatest("least", F.when(F.col("dep").isNotNull() & (F.col("w") > F.col("n_forward")), F.col("w")))).alias("least"))
+        higher = written(base.join(raised, key, "left").select(
+            *key, "n_forward", F.least(F.col("n_forward") + 1, F.greatest("base", "least")).alias("base")), "calls-base")
+        rest = moved.where("dep is not null").join(higher.where("base > n_forward").select(*key), key, "left_anti")
+        rest = written(rest.groupBy(*key, "dep", "n_forward").agg(F.max("w").alias("w")), "calls-left")
+        release(base, left, moved)
+        base, left = higher, rest
+    # what still has edges leads to others that have: into a cycle
+    stuck = left.select(*key).distinct().withColumn("stuck", F.lit(True))
+    return base.join(stuck, key, "left").select(
+        *key, F.when((F.col("base") <= F.col("n_forward")) & F.col("stuck").isNull(), F.col("base")).alias("level"))
 
 
 def link_tool_calls(messages: DataFrame, tools: DataFrame) -> DataFrame:
@@ -114,9 +127,7 @@ def link_tool_calls(messages: DataFrame, tools: DataFrame) -> DataFrame:
         "is_object", F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False)))
     key = ["conv_key", "turn", "idx"]
     given = parsed.where("is_object").select(*key, "name", "v")
-    given.createOrReplaceTempView("_relaysql_tool_arguments")
-    pieces = given.sparkSession.sql(
-        "SELECT conv_key, turn, idx, name, p.key AS param, p.value AS value FROM _relaysql_tool_arguments, LATERAL variant_explode(v) AS p")
+    pieces = given.lateralJoin(given.sparkSession.tvf.variant_explode(F.col("v").outer()).select(F.col("key").alias("param"), "value"))
     pieces = pieces.select(*key, "name", "param", json_type(F.col("value")).alias("kind"))
     known = tools.select(F.col("name").alias("t_name"), F.col("param").alias("t_param"), F.col("type").alias("t_type")).distinct()
     judged = pieces.join(known, (F.col("name") == F.col("t_name")) & (F.col("param") == F.col("t_param")), "left")

@@ -102,6 +102,25 @@ def test_one_very_long_conversation(spark):
     assert len(got) == 3000 and {r.level for r in got} == {0} and all(r.result == "r" + r.call_id[1:] for r in got)
 
 
+def test_chains_and_cycles_settle_in_few_rounds(spark, monkeypatch):
+    n, far = 5000, 40
+    rows = [(1, i, None, [call(f"c{i}", deps=[f"c{i + 1}"] if i < n - 1 else [])], None) for i in range(n)]      # all forward
+    rows += [(2, i, None, [call(f"c{i}", deps=[f"c{i - 1}"] if 0 < i else [f"c{n - 1}"])], None) for i in range(n)]  # one cycle, one edge forward
+    # forward edges that end in a cycle, and calls that do not lead there
+    rows += [(3, i, None, [call(f"c{i}", deps=[f"c{i + 1}"])], None) for i in range(far)]
+    rows += [(3, far + i, None, [call(f"c{far + i}", deps=[f"c{far + (i - 1) % 30}", f"d{i}"])], None) for i in range(30)]
+    rows += [(3, 100 + i, None, [call(f"d{i}", deps=[f"d{i + 1}", f"d{i + 2}"])], None) for i in range(30)]
+    rounds, write = [], t.written
+    monkeypatch.setattr(t, "written", lambda df, name: (rounds.append(name), write(df, name))[1])
+    got = {(r.conv_id, r.call_id): (r.status, r.level) for r in run(spark, rows)}
+    assert rounds.count("calls-round") <= 40
+    assert all(got[(1, f"c{i}")] == ("unanswered", n - 1 - i) for i in range(n))
+    assert all(got[(2, f"c{i}")] == ("cycle", None) for i in range(n))
+    assert all(got[(3, f"c{i}")] == ("cycle", None) for i in range(far + 30))
+    assert all(got[(3, f"d{i}")] == ("unanswered", 29 - i) for i in range(30))
+    assert not [x for x in spark.catalog.listTables() if x.name.startswith("_relaysql")]
+
+
 def test_main_path_is_native(spark):
     tools = spark.createDataFrame(t.TOOLS, "name string, param string, type string, required boolean")
     conversations = spark.createDataFrame([(1, 0, "user", "x"), (1, 1, "assistant", "y")], "conv_id bigint, turn bigint, role string, text string")
