@@ -118,6 +118,21 @@ def test_pigeonhole_and_sketch_bounds():
             assert (100 + percent) * hamming <= (100 - percent) * (len(a) + len(b))
 
 
+def test_pairs_come_out_of_their_first_bucket_only(spark):
+    r = random.Random(4)
+    lists = [sorted(r.sample(range(60), r.randint(0, 9))) for _ in range(50)]
+    first = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    rank = np.array([v for x in lists for v in x], np.int64)
+    x, y = (np.array([r.randrange(50) for _ in range(400)]) for _ in range(2))
+    assert list(j._met_before(rank, first, x, y)) == [bool(set(lists[a]) & set(lists[b])) for a, b in zip(x, y)]
+    assert not j._met_before(rank[:0], np.zeros(3, np.int64), np.array([0]), np.array([1])).any()
+    # 30 alike sets in ten buckets each, all components of their own: every pair once
+    sets = spark.range(30).selectExpr("id AS doc_id", "100L AS n_shingles", *(f"0L AS {s}" for s in j.SKETCH))
+    members = spark.range(30).crossJoin(spark.range(10).withColumnRenamed("id", "key")).selectExpr("key", "id AS doc", "id AS component")
+    pairs = [(p.a, p.b) for p in j._across_by_tiles(members, sets, 80).collect()]
+    assert sorted(pairs) == [(a, b) for a in range(30) for b in range(a + 1, 30)]
+
+
 def test_shingles_of_slices_and_long_words():
     texts = pa.array(["x y", None, "a b c d e", "q" * 9_000_000 + " r s t", ""])
     sets, bounds = j.shingle_sets(texts, 4)
