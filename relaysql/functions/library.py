@@ -75,3 +75,16 @@ def reverse_text(s: pd.Series) -> pd.Series:
 
 
 reverse_text.vectorized = True  # type: ignore[attr-defined]
+
+
+def split_text(s: pd.Series) -> pd.DataFrame:
+    """Python user code with several columns: first letter, the rest, and the length."""
+    return pd.DataFrame({"head": s.str[:1], "tail": s.str[1:], "size": s.str.len().astype("Int64")})
+
+
+split_text.vectorized = True  # type: ignore[attr-defined]
+
+
+def split_row(text: str | None) -> tuple | None:
+    """The same for one value: a tuple in the order of the fields, None for a null struct."""
+    return None if text is None else (text[:1], text[1:], len(text))

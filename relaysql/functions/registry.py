@@ -22,8 +22,12 @@ parentheses, split on commas, trailing empty parts do not count, so ``"()"``
 counts as one argument. Only 1, 2 or 3 arguments are allowed, and the object must
 take as many. ``returnType`` takes the schema type names (``string``, ``int``,
 ``long``, ...); anything else, including the default, means ``string``. A SQL
-function's result is cast to it; one that returns a struct keeps its own type. A
-blank config registers nothing.
+function's result is cast to it; one that returns a struct keeps its own type.
+Several columns from Python are named as ``"struct<head:string,tail:int>"`` (fields of
+schema type names, nested structs too): a vectorized object then returns a
+``pandas.DataFrame`` with a column for each field, any other callable a tuple or a dict, and
+the SQL takes the result apart with ``m.*``. A ``struct<`` that cannot be read is an error.
+A blank config registers nothing.
 """
 
 from __future__ import annotations
@@ -72,8 +76,16 @@ class FunctionSpec:
 
     @property
     def spark_return_type(self) -> T.DataType:
+        if self.return_type.strip().lower().startswith("struct<"):
+            return self._struct_type(self.return_type)
         return FIELD_TYPES.get(self.return_type, T.StringType())
 
+    def _struct_type(self, text: str) -> T.DataType:
+        try:
+            return T.DataType.fromDDL(text)
+        except Exception as e:        # the parser's own exception types differ between Spark modes
+            raise FunctionConfigError(f"function {self.name!r}: returnType {text!r} cannot be read") from e
+
     def validate(self) -> None:
         if not self.name or not isinstance(self.name, str):
             raise FunctionConfigError("function entry needs a non-empty 'name'")
@@ -137,6 +149,8 @@ def register_function(session: SparkSession, name: str, obj, arity: int | None =
         if arity is not None and arity != obj.arity:
             raise FunctionConfigError(f"function {name!r} takes {obj.arity} arguments, config says {arity}")
         if return_type is not None and not obj.returns.upper().startswith("STRUCT"):
+            if isinstance(return_type, T.StructType):
+                raise FunctionConfigError(f"function {name!r} returns {obj.returns}, config says {return_type.simpleString()}")
             obj = SqlFunction(obj.params, return_type.simpleString(), f"CAST({obj.body} AS {return_type.simpleString()})")
         session.sql(obj.create_statement(name))
         return

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relaysql.functions.lookup import const_lookup, lookup_join, service_join
+from relaysql.operators.band_join import band_join
+from relaysql.operators.sketches import distinct_bound, estimates, merge, rank_bound, sketch
 from relaysql.plans.conformance import CONFORMANCE
 from relaysql.plans.job import BatchResult, SqlJob, preview
 from relaysql.session import shared_path
@@ -425,6 +427,22 @@ def udf_multi_column(spark, sf_dir):
                       [fn("hs", "head_tail")]).shaped
 
 
+_SPLIT_TYPE = "struct<head:string,tail:string,size:long>"
+
+
+@register("udf_struct_python",
+          "SELECT event_id, CASE WHEN event_type <> 'error' THEN substr(event_type, 1, 1) END AS head, "
+          "CASE WHEN event_type <> 'error' THEN substr(event_type, 2) END AS tail, "
+          "CASE WHEN event_type <> 'error' THEN length(event_type) END AS size, "
+          "substr(event_type, 1, 1) AS row_head, length(event_type) AS row_size FROM events")
+def udf_struct_python(spark, sf_dir):
+    """Several columns from configured Python: Arrow batches (nulls included) and a row function."""
+    functions = [fn("sp", "split_text", "(String)", _SPLIT_TYPE), fn("sr", "split_row", "(String)", _SPLIT_TYPE)]
+    return events_job(spark, sf_dir,
+                      f"select event_id, m.*, r.head as row_head, r.size as row_size from (select event_id, "
+                      f"sp({NULL_ERROR}) as m, sr(event_type) as r from source)", "", functions).result
+
+
 # --- lookups (F4, F5) ------------------------------------------------------------------
 
 LOOKUP_KEY = "NATION_7"
@@ -623,6 +641,55 @@ def stream_batch_local_agg(spark, sf_dir):
     return back.select(F.from_json("value", "part INT, event_type STRING, n BIGINT").alias("r")).select("r.*")
 
 
+# --- beyond one SQL statement (§2.7): band joins, kept sketches ------------------------------
+
+BAND_WIDTH = 5.0
+
+
+def _stored_events(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """A job's result, stored: decoded once for what reads it several times."""
+    result = events_job(spark, sf_dir, sql, "").result
+    path = shared_path(spark, "events")
+    result.write.parquet(path)
+    return result.sparkSession.read.schema(result.schema).parquet(path)
+
+
+@register("join_band",
+          "SELECT a.event_id, a.value, b.event_id AS near_event_id, b.event_type AS near_event_type, b.value AS near_value "
+          "FROM events a JOIN events b ON a.user_id = b.user_id AND CAST(a.ts AS DATE) = CAST(b.ts AS DATE) "
+          f"AND abs(a.value - b.value) <= {BAND_WIDTH} WHERE a.event_type = 'purchase' AND b.event_type <> 'purchase'")
+def join_band(spark, sf_dir):
+    """Purchases with the user's other events of the day that are worth about as much."""
+    events = _stored_events(spark, sf_dir, "select event_id, user_id, substr(ts, 1, 10) as day, event_type, value from source")
+    pairs = band_join(events.where("event_type = 'purchase'"), events.where("event_type <> 'purchase'"),
+                      "value", "value", BAND_WIDTH, ["user_id", "day"], right_prefix="near_")
+    return pairs.select("event_id", "value", "near_event_id", "near_event_type", "near_value")
+
+
+SKETCH_SHARES = {"p25": 0.25, "p50": 0.5, "p90": 0.9}
+
+
+@register("sketch_rollup",
+          "SELECT event_type, count(*) AS n_rows, count(DISTINCT user_id) AS users, true AS users_near, true AS p25_near, "
+          "true AS p50_near, true AS p90_near FROM events GROUP BY event_type")
+def sketch_rollup(spark, sf_dir):
+    """Sketches kept per day and type, merged to types; each estimate against the exact figure."""
+    events = _stored_events(spark, sf_dir, "select event_type, substr(ts, 1, 10) as day, user_id, value from source")
+    path = shared_path(spark, "sketches")
+    sketch(events, ["event_type", "day"], ["user_id"], ["value"]).write.parquet(path)
+    kept = merge(events.sparkSession.read.parquet(path), ["event_type"])
+    # one small row per type
+    read = estimates(kept, SKETCH_SHARES).withColumnsRenamed({"event_type": "_type", "n_rows": "_kept"})
+    ranks = [F.count_if(F.col("value") < F.col(f"value_{p}")).alias(f"{p}_below") for p in SKETCH_SHARES]
+    ranks += [F.count_if(F.col("value") <= F.col(f"value_{p}")).alias(f"{p}_upto") for p in SKETCH_SHARES]
+    exact = events.join(read, events.event_type.eqNullSafe(F.col("_type"))).groupBy("event_type").agg(
+        F.max("_kept").alias("n_rows"), F.count_distinct("user_id").alias("users"), F.max("user_id_distinct").alias("_users"), *ranks)
+    near = [((F.col(f"{p}_below") / F.col("n_rows") <= share + rank_bound()) & (F.col(f"{p}_upto") / F.col("n_rows") >= share - rank_bound())
+             ).alias(f"{p}_near") for p, share in SKETCH_SHARES.items()]
+    return exact.select("event_type", "n_rows", "users",
+                        (F.abs(F.col("_users") - F.col("users")) <= F.col("users") * distinct_bound()).alias("users_near"), *near)
+
+
 # --- SQL conformance (§2.7) ------------------------------------------------------------
 
 for _name, (_spark_sql, _duck_sql) in CONFORMANCE.items():

@@ -118,3 +118,26 @@ def test_lookup_join_is_broadcast_by_size_only(spark):
     big = lookup_join(left, "k", table, "id", ["v"])
     assert sorted(tuple(r) for r in big.collect()) == [(1, "b"), (2, "c"), (3, None)]
     assert "SortMergeJoin" in big._jdf.queryExecution().executedPlan().toString()
+
+
+def test_python_functions_of_several_columns(spark):
+    config = [{"name": n, "mainClass": f"relaysql.functions.library:{t}", "param": "(String)",
+               "returnType": "struct<head:string,tail:string,size:long>"} for n, t in (("sp", "split_text"), ("sr", "split_row"))]
+    s = job_session(spark)
+    register_functions(s, parse_function_config(config))
+    s.createDataFrame([("jack",), ("",), (None,)], "t string").createOrReplaceTempView("texts")
+    rows = s.sql("select t, sp(t) as a, sr(t) as b from texts").collect()
+    got = {r.t: (tuple(r.a), r.b and tuple(r.b)) for r in rows}
+    assert got == {"jack": (("j", "ack", 4), ("j", "ack", 4)), "": (("", "", 0), ("", "", 0)),
+                   None: ((None, None, None), None)}
+    assert s.sql("select m.* from (select sp(t) as m from texts)").columns == ["head", "tail", "size"]
+
+
+def test_struct_return_types_are_checked(spark):
+    bad = {"name": "x", "mainClass": "relaysql.functions.library:split_row", "param": "(String)"}
+    (spec,) = parse_function_config([{**bad, "returnType": "struct<head string"}])
+    with pytest.raises(FunctionConfigError, match="returnType"):
+        register_functions(job_session(spark), (spec,))
+    (spec,) = parse_function_config([{**bad, "mainClass": "relaysql.functions.library:suffix_new", "returnType": "struct<a:int>"}])
+    with pytest.raises(FunctionConfigError, match="config says"):
+        register_functions(job_session(spark), (spec,))
