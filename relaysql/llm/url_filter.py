@@ -12,8 +12,10 @@ longer host, then block. Where no rule fits, the page is blocked when its host o
 a parent domain is a blocked host, else allowed.
 
 The array is shipped in blocks of at most ``BLOCK_BYTES`` of strings (measured
-before anything is collected); a larger list is probed block by block within the
-same pass over the pages, and the best finding is carried on.
+before anything is collected). One pass over the pages probes up to ``STEP_BYTES`` of
+blocks with one Python worker per task: a page's strings are made and hashed once and
+looked up in each block. Only a list beyond that takes further passes, each over the stored
+findings of the one before, so a worker's memory is bounded whatever the list's size.
 
 Null urls and urls without ``://`` have an empty host and path, so nothing fits
 and they are allowed. Repeated rows are judged each; an empty table gives an
@@ -32,10 +34,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaysql.llm.common import bounded_blocks, table
+from relaysql.llm.common import bounded_blocks, release, table, written
 from relaysql.session import ship_package
 
 BLOCK_BYTES = 32 << 20
+STEP_BYTES = 256 << 20      # of images, all held by a worker during one pass
 
 # The production rules.
 RULES = [
@@ -97,7 +100,7 @@ class MappedArray:
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, blocked_hosts: DataFrame, id_col: str = "page_id",
-               url_col: str = "url", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+               url_col: str = "url", block_bytes: int = BLOCK_BYTES, step_bytes: int = STEP_BYTES) -> DataFrame:
     """``rules``: rule, verdict; ``blocked_hosts``: host. Returns page_id, host, path,
     rule, verdict."""
     spark = pages.sparkSession
@@ -121,22 +124,31 @@ def judge_urls(pages: DataFrame, rules: DataFrame, blocked_hosts: DataFrame, id_
         "page_id", F.translate("raw_host", *az).alias("host"),
         F.regexp_extract(F.expr("substr(rest, length(raw_host) + 1)"), r"^[^?#]*", 0).alias("path"),
         F.lit(None).cast("string").alias("rule"), F.lit(-1).alias("kind"))
+    found = "page_id bigint, host string, path string, rule string, kind int"
+    step, size, before = [], 0, None
     for block in bounded_blocks(entries, "octet_length(entry) + 32", "entry", block_bytes):
         array = DigestArray([(r["entry"], r["kind"]) for r in block])
-        df = df.mapInArrow(_prober(spark.sparkContext.broadcast((array.image, array.n)), cuts),
-                           "page_id bigint, host string, path string, rule string, kind int")
+        if step and size + len(array.image) > step_bytes:
+            stored = written(df.mapInArrow(_prober(step, cuts), found), "url-step")
+            if before is not None:
+                release(before)
+            df = before = stored
+            step, size = [], 0
+        step.append(spark.sparkContext.broadcast((array.image, array.n)))
+        size += len(array.image)
+    df = df.mapInArrow(_prober(step, cuts), found)
     return df.select("page_id", "host", "path", "rule",
                      F.when(F.col("kind").isin(BLOCK, HOST), "block").otherwise("allow").alias("verdict"))
 
 
-def _prober(shared, cuts: list[int]):
+def _prober(blocks: list, cuts: list[int]):
     def better(new, old):
         """Rules before host entries; longer first, then the longer host, then block."""
         rank = lambda e: (e[0] != HOST, len(e[1]), len(e[1].split("/", 1)[0]), e[0])
         return old is None or rank(new) > rank(old)
 
     def probe(batches):
-        found = MappedArray(*shared.value)
+        arrays = [MappedArray(*block.value) for block in blocks]
         for batch in batches:
             hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
             rules, kinds = batch.column("rule").to_pylist(), batch.column("kind").to_pylist()
@@ -155,7 +167,9 @@ def _prober(shared, cuts: list[int]):
                             owner.append(i)
             raw = [a.encode() for a in asked]
             keys = np.fromiter((xxhash.xxh64_intdigest(r) for r in raw), np.uint64, len(raw))
-            kind = found.find(raw, keys)
+            kind = np.full(len(raw), -1, np.int64)
+            for array in arrays:                   # an entry is in one block only
+                kind = np.maximum(kind, array.find(raw, keys))
             best = [None if k < 0 else (k, r or "") for k, r in zip(kinds, rules)]
             for j in np.flatnonzero(kind >= 0):
                 new = (int(kind[j]), "" if kind[j] == HOST else asked[j])

@@ -31,14 +31,15 @@ def brute(url):
     return host, path, None, "block" if bad else "allow"
 
 
-@pytest.mark.parametrize("limit", [u.BLOCK_BYTES, 120])      # one array, and several in turn
-def test_against_brute_force(spark, limit):
+# one array, several in one pass, and several passes
+@pytest.mark.parametrize("limit,step", [(u.BLOCK_BYTES, u.STEP_BYTES), (120, u.STEP_BYTES), (120, 300)])
+def test_against_brute_force(spark, limit, step):
     pages = spark.createDataFrame([(i, x, "clash", "k") for i, x in enumerate(URLS)],
                                   "page_id bigint, url string, rule string, kind string")
     rules = spark.createDataFrame(RULES, "rule string, verdict string")
     hosts = spark.createDataFrame([(h,) for h in u.BLOCKED_HOSTS] + [(None,)], "host string")
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in
-           u.judge_urls(pages, rules, hosts, block_bytes=limit).collect()}
+           u.judge_urls(pages, rules, hosts, block_bytes=limit, step_bytes=step).collect()}
     assert got == {i: brute(x) for i, x in enumerate(URLS)}
 
 
@@ -57,3 +58,14 @@ def test_empty_tables_and_repeated_rows(spark):
     pages = spark.createDataFrame([(1, "http://x/"), (1, "http://x/"), (None, None)], "page_id bigint, url string")
     assert [r.verdict for r in u.judge_urls(pages, rules, hosts).collect()] == ["allow"] * 3
     assert u.judge_urls(pages.limit(0), rules, hosts).count() == 0
+
+
+def test_a_long_list_takes_one_pass(spark):
+    n = 200_000
+    hosts = spark.range(n).selectExpr("concat('host', id, '.example.org') AS host")
+    rules = spark.createDataFrame(u.RULES, "rule string, verdict string")
+    pages = spark.range(0, 2 * n, 1000).selectExpr("id AS page_id", "concat('http://a.host', id, '.example.org/x') AS url")
+    got = u.judge_urls(pages, rules, hosts, block_bytes=1 << 20)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert {r.page_id for r in got.collect() if r.verdict == "block"} == set(range(0, n, 1000))
