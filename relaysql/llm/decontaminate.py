@@ -9,8 +9,10 @@ reported once, from its leftmost word: item, place in the item, place in the
 document, length, all in words. The texts are never shuffled.
 
 The benchmark is the query set. Its size is measured, and it is broadcast in
-blocks of at most ``BLOCK_BYTES``; each further block is one more step over the
-same rows, which carry on what was found.
+blocks of at most ``BLOCK_BYTES`` of text. One pass searches up to ``STEP_BYTES`` of blocks
+(their arrays, all held by a worker) with one Python worker per task. A benchmark beyond
+that takes further passes over the same rows, stored in between with what was found, so that a worker's
+memory is bounded whatever the benchmark's size; a single block is always one pass.
 
 Null texts have no words. A null item id marks words, but is not listed or
 counted; items with one id count once. Repeated documents each get a row. Empty
@@ -26,12 +28,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relaysql.llm.common import LOWER, bounded_blocks, flat_bytes, slices, table, words
+from relaysql.llm.common import LOWER, bounded_blocks, flat_bytes, release, slices, table, words, written
 from relaysql.session import ship_package
 
 WINDOW = 10
 SLICE_BYTES = 16 << 20
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20       # its arrays take some 20 times as much
+STEP_BYTES = 256 << 20
 PAIRS_AT_ONCE = 1 << 20
 
 # The words are [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ of lower-cased text.
@@ -76,6 +79,7 @@ class TestSuffixes:
         self.members = self.suffix[order]                              # test suffixes by distinct window
         self.member_at = np.searchsorted(self.which[order], np.arange(len(self.low) + 1))
         self.least = int(self.need[self.suffix].min()) if len(self.suffix) else window
+        self.nbytes = self.vocabulary.nbytes + sum(a.nbytes for a in vars(self).values() if isinstance(a, np.ndarray))
 
 
 def keys(rows: np.ndarray) -> np.ndarray:
@@ -126,7 +130,7 @@ class ShardSuffixes:
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                 block_bytes: int = BLOCK_BYTES, carry: tuple[str, ...] = ()) -> DataFrame:
+                 block_bytes: int = BLOCK_BYTES, step_bytes: int = STEP_BYTES, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id (or the columns ``carry``), n_words and matches of every document."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -136,29 +140,41 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                      F.lit(0).cast("bigint").alias("n_words"),
                      F.expr("CAST(array() AS array<struct<item_id:string,item_start:bigint,start:bigint,length:bigint>>)").alias("matches"))
     row_type = df.schema["_row"].dataType.simpleString()
+    out = f"_row {row_type}, _text string, {SCHEMA}"
+    step, size, before = [], 0, None
     for block in bounded_blocks(items, "octet_length(coalesce(text, '')) + 16", "item_id, text", block_bytes):
-        test = spark.sparkContext.broadcast(TestSuffixes([(r["item_id"], r["text"]) for r in block], window))
-        df = df.mapInArrow(_searcher(test), f"_row {row_type}, _text string, {SCHEMA}")
+        test = TestSuffixes([(r["item_id"], r["text"]) for r in block], window)
+        if step and size + test.nbytes > step_bytes:
+            stored = written(df.mapInArrow(_searcher(step), out), "decontaminate-step")
+            if before is not None:
+                release(before)
+            df = before = stored
+            step, size = [], 0
+        step.append(spark.sparkContext.broadcast(test))
+        size += test.nbytes
+    df = df.mapInArrow(_searcher(step), out)
     return df.select("_row.*", "n_words", "matches")
 
 
-def _searcher(shared):
+def _searcher(blocks: list):
     def search(batches):
-        test = shared.value
+        tests = [block.value for block in blocks]
         for batch in batches:
             for part in slices(batch, "_text", SLICE_BYTES):
-                shard = ShardSuffixes(part.column("_text"), test)
-                found = [[] for _ in range(len(part))]
-                for t, p, length in shard.matches(test):
-                    doc = np.searchsorted(shard.first, p, side="right") - 1
-                    for d, ti, pi, n in zip(doc.tolist(), t.tolist(), p.tolist(), length.tolist()):
-                        found[d].append({"item_id": test.ids[test.item[ti]], "item_start": ti - int(test.first[ti]),
-                                         "start": pi - int(shard.first[d]), "length": n})
+                found, n_words = [[] for _ in range(len(part))], np.zeros(len(part), np.int64)
+                for test in tests:
+                    shard = ShardSuffixes(part.column("_text"), test)
+                    n_words = np.diff(shard.first).astype(np.int64)
+                    for t, p, length in shard.matches(test):
+                        doc = np.searchsorted(shard.first, p, side="right") - 1
+                        for d, ti, pi, n in zip(doc.tolist(), t.tolist(), p.tolist(), length.tolist()):
+                            found[d].append({"item_id": test.ids[test.item[ti]], "item_start": ti - int(test.first[ti]),
+                                             "start": pi - int(shard.first[d]), "length": n})
                 before = part.column("matches")
                 if before.values is not None and len(before.values):
                     found = [a + b for a, b in zip(before.to_pylist(), found)]
                 yield pa.RecordBatch.from_arrays([
-                    part.column("_row"), part.column("_text"), pa.array(np.diff(shard.first).astype(np.int64)),
+                    part.column("_row"), part.column("_text"), pa.array(n_words),
                     pa.array(found, MATCH)], names=["_row", "_text", "n_words", "matches"])
     return search
 

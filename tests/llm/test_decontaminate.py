@@ -58,9 +58,13 @@ def run(spark, docs, items, **k):
     return d.find_matches(a, b, **k)
 
 
-@pytest.mark.parametrize("limit", [d.BLOCK_BYTES, 700])       # one block, and several in turn
-def test_against_brute_force(spark, limit):
-    got = {r.doc_id: (r.n_words, r.n_hit, r.items) for r in run(spark, DOCS, ITEMS, block_bytes=limit).selectExpr(
+# one block, several in one pass, and several passes
+@pytest.mark.parametrize("limit,step", [(d.BLOCK_BYTES, d.STEP_BYTES), (700, d.STEP_BYTES), (700, 1)])
+def test_against_brute_force(spark, limit, step):
+    found = run(spark, DOCS, ITEMS, block_bytes=limit, step_bytes=step)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and ("decontaminate-step" in plan) == (step == 1)
+    got = {r.doc_id: (r.n_words, r.n_hit, r.items) for r in found.selectExpr(
         "doc_id", "n_words", f"{d.N_HIT} AS n_hit", f"{d.ITEMS} AS items").collect()}
     assert got == brute(DOCS, ITEMS)
 
