@@ -20,6 +20,11 @@ def components(links: DataFrame) -> DataFrame:
     """``links`` (a, b) -> (node, component): the smallest id reachable, for every node that has a link."""
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
     for _ in range(MAX_ROUNDS):
+        # done when every node points at one node, and none points at a node that points on
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+        open_ = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least")).where("ups > 1 OR ups = 1 AND least = 0")
+        if open_.isEmpty():
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc-least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -29,11 +34,6 @@ def components(links: DataFrame) -> DataFrame:
         new = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
         release(edges, least, large, low)
         edges = new
-        # done when every node points at one node, and none points at a node that points on
-        ends = new.select(F.col("u").alias("node"), F.lit(1).alias("up")).unionByName(new.select(F.col("v").alias("node"), F.lit(0).alias("up")))
-        open_ = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least")).where("ups > 1 OR ups = 1 AND least = 0")
-        if open_.isEmpty():
-            break
     else:
         raise RuntimeError("components did not settle")
     roots = edges.select(F.col("v").alias("node")).distinct()

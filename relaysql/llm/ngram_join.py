@@ -48,6 +48,7 @@ SLICE_ROWS = 2048                  # 11 bits beside 53 bits of hash
 SPARE = 0.15                       # spare blocks, as a share of D + 1
 SKETCH_WORDS = 16                  # 1024 bits
 LONG_SET = 512                     # larger sets also get a sketch as wide as they need
+MID_BITS = 1 << 16                 # widest sketch that goes into tiles
 BITMAP_BITS = 26
 TILE = 2048                        # members that meet in one task
 EARLIER = 32                       # of a set's buckets that tell where a pair met before
@@ -161,12 +162,23 @@ def wide_sketches(sets: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """Sketches of sets beyond ``LONG_SET``, two to four bits per token; null for others.
     The number of words is a power of two, and a wider one folds to a narrower one by
     XOR of its halves, so sets of any two sizes can be compared."""
+    return _sketches(sets, bounds, lambda n: 64 << (n // 32).bit_length() if n > LONG_SET else 0)
+
+
+def mid_sketches(sets: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Sketches for tiles, of sets for which the first one is too narrow to tell unlike sets
+    apart: two to four bits for three tokens, ``MID_BITS`` at most; null for others."""
+    first = 64 * SKETCH_WORDS
+    return _sketches(sets, bounds, lambda n: min(1 << (2 * n // 3 - 1).bit_length(), MID_BITS) if 2 * n // 3 > first else 0)
+
+
+def _sketches(sets: np.ndarray, bounds: np.ndarray, bits_of) -> pa.Array:
     out = []
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        if b - a <= LONG_SET:
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        bits = bits_of(b - a)
+        if not bits:
             out.append(None)
             continue
-        bits = 64 << int((b - a) // 32).bit_length()
         at = (mix64(sets[a:b] ^ np.uint64(0x5BD1E995)) % np.uint64(bits)).astype(np.int64)
         out.append(np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).view(np.int64))
     return pa.array(out, pa.list_(pa.int64()))
@@ -189,9 +201,9 @@ def _sets_table(docs: DataFrame, k: int) -> DataFrame:
                 sketch = bit_sketches(sets, bounds)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(np.diff(bounds)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
-                     *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_WORDS)), wide_sketches(sets, bounds)],
-                    names=["doc_id", "n_shingles", "key_a", "key_b", *SKETCH, "wide"])
-    schema = "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, " + ", ".join(f"{s} bigint" for s in SKETCH) + ", wide array<bigint>"
+                     *(pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_WORDS)), wide_sketches(sets, bounds), mid_sketches(sets, bounds)],
+                    names=["doc_id", "n_shingles", "key_a", "key_b", *SKETCH, "wide", "mid"])
+    schema = "doc_id bigint, n_shingles bigint, key_a bigint, key_b bigint, " + ", ".join(f"{s} bigint" for s in SKETCH) + ", wide array<bigint>, mid array<bigint>"
     return docs.mapInArrow(make, schema)
 
 
@@ -283,7 +295,7 @@ def _bitmap(spark: SparkSession, ids: DataFrame) -> np.ndarray:
 
 
 def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """node, text of the documents that a pair names."""
+    """node, text of the documents that a pair names, written."""
     spark = docs.sparkSession
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     shared = spark.sparkContext.broadcast(_bitmap(spark, nodes))
@@ -296,12 +308,15 @@ def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             yield batch.filter(pa.array((bits[at >> 3] >> (at & 7)) & 1 == 1)).select(["doc_id", "text"])
 
     some = hashed.mapInArrow(sift, "doc_id bigint, text string")
-    return some.join(nodes, some.doc_id == nodes.node).select("node", "text")
+    found = some.join(nodes, some.doc_id == nodes.node).select("node", "text")
+    found = written(found.groupBy("node").agg(F.max("text").alias("text")), "join-texts")
+    shared.destroy()                                               # the driver's copy too
+    return found
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a: centre, b) whose similarity on whole texts reaches the percentage."""
-    texts = written(_texts(docs, pairs).groupBy("node").agg(F.max("text").alias("text")), "join-texts")
+    texts = _texts(docs, pairs)
     dealt = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).alias("salt"))
     centres = dealt.select("a", "salt").distinct().join(texts, F.col("a") == F.col("node")).select(
         "a", "salt", F.lit(None).cast("bigint").alias("b"), "text")
@@ -377,6 +392,45 @@ def _met_before(rank: np.ndarray, first: np.ndarray, x: np.ndarray, y: np.ndarra
     return out
 
 
+class Mids:
+    """Rows of ``mid_sketches``, compared at the narrower one's width."""
+
+    def __init__(self, column: pa.Array):
+        self.words = np.ascontiguousarray(column.flatten().to_numpy()).view(np.uint64)
+        self.width = column.value_lengths().fill_null(0).to_numpy()
+        self.first = np.cumsum(self.width) - self.width
+        self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def at(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """All rows of ``width`` words or more, folded to that, and where each row stands there."""
+        if width not in self.folded:
+            use = self.width >= width
+            out = np.empty((int(use.sum()), width), np.uint64)
+            place = np.cumsum(use) - 1
+            for own in np.unique(self.width[use]).tolist():
+                rows = np.flatnonzero(self.width == own)
+                for k in range(0, len(rows), max(1, (1 << 20) // own)):
+                    some = rows[k:k + max(1, (1 << 20) // own)]
+                    words_ = self.words[self.first[some][:, None] + np.arange(own)]
+                    out[place[some]] = np.bitwise_xor.reduce(words_.reshape(len(some), own // width, width), axis=1)
+            self.folded[width] = out, place
+        return self.folded[width]
+
+    def near(self, x: np.ndarray, y: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+        """Whether rows x[i] and y[i] are within the Hamming bound, or one has no such sketch."""
+        width = np.minimum(self.width[x], self.width[y])
+        out = width == 0
+        for w in np.unique(width[~out]).tolist():
+            words_, place = self.at(w)
+            pairs = np.flatnonzero(width == w)
+            for k in range(0, len(pairs), max(1, (1 << 20) // w)):
+                some = pairs[k:k + max(1, (1 << 20) // w)]
+                a, b = x[some], y[some]
+                apart = np.bitwise_count(words_[place[a]] ^ words_[place[b]]).sum(axis=1, dtype=np.int64)
+                out[some] = (100 + percent) * apart <= (100 - percent) * (n[a] + n[b])
+        return out
+
+
 def _across_by_tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that sizes and sketches leave open, among
     the ``members`` (key, doc, component) of the buckets.
@@ -384,10 +438,12 @@ def _across_by_tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataF
     A bucket is cut in tiles: a component with ``TILE`` members
     or more has tiles of its own, the others share tiles; pairs of tiles are units, but
     not those of one component. A unit's members lie in one task as rows of sketches,
-    which are compared there; only pairs within the Hamming bound come out, and only of
+    which are compared there (those of large sets by ``mid_sketches`` too, if ``sets`` has
+    them as ``mid``); only pairs within the Hamming bound come out, and only of
     the first bucket that both lie in. Rows carry the ``EARLIER`` smallest keys of their
     document's buckets for that: a pair that shares none of these may come out again."""
-    sketch = sets.groupBy("doc_id").agg(F.max(F.struct("n_shingles", *SKETCH)).alias("s")).select("doc_id", "s.*")
+    mid = F.col("mid") if "mid" in sets.columns else F.lit(None).cast("array<bigint>").alias("mid")
+    sketch = sets.groupBy("doc_id").agg(F.max(F.struct("n_shingles", *SKETCH, mid)).alias("s")).select("doc_id", "s.*")
     # as many keys as a document has blocks at most
     earlier = members.groupBy("doc").agg(F.slice(F.sort_array(F.collect_list("key")), 1, EARLIER).alias("keys"))
     heaps = members.groupBy("key", "component").agg(F.count("*").alias("m"))
@@ -408,9 +464,9 @@ def _across_by_tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataF
     partners = F.filter("tiles", lambda t: F.col("at.shared") | t["shared"] | (t["c"] != F.col("at.c")))
     units = F.transform(partners, lambda t: F.struct(F.least(t, F.col("at")).alias("ta"), F.greatest(t, F.col("at")).alias("tb"), (t < F.col("at")).alias("second")))
     unit = ["key", "ta", "tb"]
-    rows = placed.select("key", "doc", "component", F.col("n_shingles").alias("n"), "before", *SKETCH, F.inline(units)).withColumn("split", F.expr("ta <> tb"))
+    rows = placed.select("key", "doc", "component", F.col("n_shingles").alias("n"), "before", *SKETCH, "mid", F.inline(units)).withColumn("split", F.expr("ta <> tb"))
     rows = rows.repartition(*unit).sortWithinPartitions(*unit).select(
-        F.xxhash64(*unit).alias("unit"), "doc", "component", "n", "second", "split", "before", *SKETCH)
+        F.xxhash64(*unit).alias("unit"), "doc", "component", "n", "second", "split", "before", *SKETCH, "mid")
 
     def pairs(rows_: pa.Table):
         unit_, doc, component, n, second, split = (rows_.column(c).to_numpy() for c in ("unit", "doc", "component", "n", "second", "split"))
@@ -418,6 +474,7 @@ def _across_by_tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataF
         before = rows_.column("before").combine_chunks()
         rank = np.unique(before.flatten().to_numpy(), return_inverse=True)[1]
         first = np.concatenate([[0], np.cumsum(before.value_lengths().to_numpy())])
+        mids = Mids(rows_.column("mid").combine_chunks())
         last = np.append(unit_[1:] != unit_[:-1], True)
         ends = np.flatnonzero(last) + 1
         end = np.repeat(ends, np.diff(np.append(0, ends)))       # where each row's unit ends
@@ -434,6 +491,8 @@ def _across_by_tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataF
                 apart = np.bitwise_count(words_[x] ^ words_[y]).sum(axis=1, dtype=np.int64)
                 near = (100 + percent) * apart <= (100 - percent) * (n[x] + n[y])
                 x, y = x[near], y[near]
+                near = mids.near(x, y, n, percent)
+                x, y = x[near], y[near]
                 new = ~_met_before(rank, first, x, y)
                 if new.any():
                     a, b = doc[x[new]], doc[y[new]]
@@ -579,13 +638,16 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     release(members, open_rows, buckets, open_keys)
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = written(_possible(found.join(tried, ["a", "b"], "left_anti"), first, percent), "join-rest")
+    # ids whose only row has no shingles, and ids without links, are their own component
+    result = _labelled(every.select("doc_id", "n_shingles"), labels, "doc_id", "component_id")
     if not rest.isEmpty():
         more = _verified(texts, rest, shingle_words, percent)
-        labels = written(components(links.unionByName(twin_links).unionByName(more)), "join-labels")
+        # links between components, which are few: only these are joined, not all links again
+        more = _labelled(_labelled(more, labels, "a", "c_a"), labels, "b", "c_b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+        merged = written(components(more), "join-merged")
+        result = _labelled(result, merged, "component_id", "root").select("doc_id", "n_shingles", F.col("root").alias("component_id"))
     release(found, stars, rest, twins, classes)
-    # ids whose only row has no shingles, and ids without links, are their own component
-    return every.select("doc_id", "n_shingles").join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return result
 
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -166,3 +166,64 @@ def test_words_that_a_polynomial_hash_confuses(spark):
     df = spark.createDataFrame([(1, word), (2, other), (3, word)], "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in j.similar_documents(df).collect()}
     assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_mid_sketches_never_exceed_the_difference():
+    r = np.random.default_rng(6)
+    sizes = [100, 1500, 1540, 2500, 4000, 9000, 9000, 130_000]
+    sets = [np.unique(r.integers(0, 1 << 53, n, dtype=np.uint64)) for n in sizes]
+    sets.append(np.unique(np.concatenate([sets[3][:-200], sets[0]])))       # linked with it
+    column = j.mid_sketches(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])]))
+    assert column.is_null().to_pylist() == [True, True, *[False] * 7]
+    assert column[7].values is not None and len(column[7].as_py()) * 64 == j.MID_BITS
+    n = np.array([len(x) for x in sets])
+    x, y = (k.ravel() for k in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    near = j.Mids(column).near(x, y, n, 80)
+    for a, b, found in zip(x.tolist(), y.tolist(), near.tolist()):
+        common = len(np.intersect1d(sets[a], sets[b]))
+        if min(a, b) < 2 or 100 * common >= 80 * (n[a] + n[b] - common):
+            assert found
+        elif min(n[a], n[b]) * 2 > max(n[a], n[b]):
+            assert not found
+
+
+def test_unlike_long_sets_do_not_come_out_of_tiles(spark):
+    r = np.random.default_rng(7)
+    common = r.integers(0, 1 << 53, 2000, dtype=np.uint64)                 # 40 sets of 5,000 that share two fifths
+    sets = [np.unique(np.concatenate([common, r.integers(0, 1 << 53, 3000, dtype=np.uint64)])) for _ in range(40)]
+    sets.append(np.unique(np.append(sets[5][30:], r.integers(0, 1 << 53, 20, dtype=np.uint64))))
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    every = np.concatenate(sets)
+    first, mids = j.bit_sketches(every, bounds), j.mid_sketches(every, bounds).to_pylist()
+    rows = [(i, len(x), *map(int, first[i]), mids[i]) for i, x in enumerate(sets)]
+    sets_ = spark.createDataFrame(rows, "doc_id long, n_shingles long, " + ", ".join(f"{s} long" for s in j.SKETCH) + ", mid array<long>")
+    members = spark.range(41).selectExpr("7L AS key", "id AS doc", "id AS component")
+    assert [(p.a, p.b) for p in j._across_by_tiles(members, sets_, 80).collect()] == [(5, 40)]
+    assert j._across_by_tiles(members, sets_.drop("mid"), 80).count() == 41 * 40 // 2      # as it was
+
+
+def test_stars_are_components_already(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(cc, "written", lambda df, name, own=cc.written: names.append(name) or own(df, name))
+    got = {x.node: x.component for x in cc.components(spark.createDataFrame([(3, 1), (1, 2), (9, 8)], "a bigint, b bigint")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8} and names == ["cc"]
+
+
+def test_late_links_join_components(spark, monkeypatch):
+    """Links found after the first components are formed merge these."""
+    r = random.Random(9)
+    base = [r.choice("abcdefghijklmnopqrstuvwxyz") * 3 + str(r.randrange(50)) for _ in range(300)]
+
+    def edited(words, n):
+        w = list(words)
+        for p in r.sample(range(len(w)), n):
+            w[p] = "z" + str(r.randrange(10**6))
+        return w
+
+    rows = [(i, " ".join(edited(base, r.randint(3, 9)))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    rest = []
+    monkeypatch.setattr(j, "written", lambda df, name, own=j.written: rest.append(name) or own(df, name))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in j.similar_documents(docs).collect()}
+    assert got == brute(rows, 5, 80)
+    assert rest.count("join-labels") == 1
